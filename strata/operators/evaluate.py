@@ -98,7 +98,7 @@ def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), posit
     g = df.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
     )
-    rt = running_totals(g, by, "_s", ["neg"], slices)
+    rt = running_totals(g, by, "_s", ["neg"], slices).rows
     credit = F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg").cast("double") / 2.0)
     out = rt.groupBy(*by).agg(
         F.sum(credit).alias("_c"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")

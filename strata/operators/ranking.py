@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.plans.physical import cut_lineage, join_small
+from strata.plans.physical import join_small, materialize
 
 
 def _slices(df: DataFrame, slices: int | None) -> int:
@@ -24,24 +24,37 @@ def _slices(df: DataFrame, slices: int | None) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
+class Running:
+    """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input."""
+
+    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame):
+        self.rows = rows
+        self.totals = totals
+        self.stored = stored
+
+
 def running_totals(
     df: DataFrame,
     group_cols: Sequence[str],
     order_col: str,
     weight_cols: Sequence[str],
     slices: int | None = None,
-) -> DataFrame:
-    """Add ``cum_<w>``: inclusive running sum of each weight within its group in ``order_col`` order.
+) -> Running:
+    """Inclusive running sum ``cum_<w>`` of each weight within its group, in ``order_col`` order.
 
-    ``df`` must be unique on (group_cols, order_col) — aggregate first.
+    ``df`` must be unique on (group_cols, order_col) — aggregate first.  The
+    range-partitioned rows are stored once with their slice id, so the slice
+    totals and the local sums always agree, also after executor loss.
     """
     groups = list(group_cols)
-    ranged = df.repartitionByRange(_slices(df, slices), *groups, order_col).withColumn(
+    # the range bounds are sampled from the input: cache it so it is computed once
+    source = df.persist()
+    ranged = source.repartitionByRange(_slices(df, slices), *groups, order_col).withColumn(
         "_slice", F.spark_partition_id()
     )
-    # slice membership must be identical for the totals and the local sums
-    ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
+    stored = materialize(ranged, "ranked")
+    source.unpersist()
+    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_slice",
@@ -51,46 +64,50 @@ def running_totals(
     inside = Window.partitionBy("_slice", *groups).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = ranged.select("*", *[F.sum(w).over(inside).alias(f"_r_{w}") for w in weight_cols])
+    local = stored.select("*", *[F.sum(w).over(inside).alias(f"_r_{w}") for w in weight_cols])
+    # offsets hold at most (slices + groups) rows
     joined = join_small(local, offsets, ["_slice", *groups])
-    return joined.select(
+    rows = joined.select(
         *df.columns, *[(F.col(f"_o_{w}") + F.col(f"_r_{w}")).alias(f"cum_{w}") for w in weight_cols]
     )
+    group_totals = totals.groupBy(*groups).agg(*[F.sum(f"_t_{w}").alias(f"total_{w}") for w in weight_cols])
+    return Running(rows, group_totals, stored.drop("_slice"))
 
 
-def exact_quantiles(
-    df: DataFrame,
+def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+    """(group..., value, _c): rows per distinct value, nulls skipped (map-side combined)."""
+    return df.filter(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def quantiles_from_counts(
+    counts: DataFrame,
     group_cols: Sequence[str],
     value_col: str,
     probs: Sequence[float],
     slices: int | None = None,
-) -> DataFrame:
-    """Continuous quantiles (linear interpolation, like ``percentile`` / ``quantile_cont``).
+) -> tuple[DataFrame, DataFrame]:
+    """Continuous quantiles from a (group, value, _c) frame; returns (quantiles, stored counts).
 
-    Returns (group..., p, n, q); nulls are skipped.  Work is one aggregation
-    to (group, value, count), one range-partitioned running sum and a filter
-    that keeps at most two rows per (group, p).
+    Quantiles are (group..., p, n, q) with linear interpolation between the
+    values at ranks floor(p(n-1)) and ceil(p(n-1)), like ``percentile`` and
+    DuckDB's ``quantile_cont``.
     """
     groups = list(group_cols)
-    vals = df.filter(F.col(value_col).isNotNull())
-    vc = vals.groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    rt = running_totals(vc, groups, value_col, ["_c"], slices).persist()
-    sizes = rt.groupBy(*groups).agg(F.max("cum__c").alias("n"))
-    target = sizes.select(
+    run = running_totals(counts, groups, value_col, ["_c"], slices)
+    target = run.totals.select(
         *groups,
-        "n",
+        F.col("total__c").alias("n"),
         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
     ).withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
-    target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn(
-        "hi", F.ceil("pos").cast("bigint")
-    )
+    target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn("hi", F.ceil("pos").cast("bigint"))
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
-    covering = join_small(rt, ranks, groups).filter(
-        F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c")))
-    ).select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
-    t = target.alias("t")
-    lo = covering.alias("a")
-    hi = covering.alias("b")
+    # keep only rows whose rank interval [cum - c, cum) holds a wanted rank: <= 2 * len(probs) per group
+    covering = (
+        join_small(run.rows, ranks, groups)
+        .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
+        .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
+    )
+    t, a, b = target.alias("t"), covering.alias("a"), covering.alias("b")
     on_lo = [F.col(f"t.{g}").eqNullSafe(F.col(f"a.{g}")) for g in groups] + [
         F.col("a._from") <= F.col("t.lo"),
         F.col("t.lo") < F.col("a._to"),
@@ -99,12 +116,28 @@ def exact_quantiles(
         F.col("b._from") <= F.col("t.hi"),
         F.col("t.hi") < F.col("b._to"),
     ]
-    # both sides hold at most 2 * len(probs) rows per group
-    joined = t.join(F.broadcast(lo), on_lo, "left").join(F.broadcast(hi), on_hi, "left")
+    joined = t.join(F.broadcast(a), on_lo, "left").join(F.broadcast(b), on_hi, "left")
     v_lo = F.col(f"a.{value_col}").cast("double")
     v_hi = F.col(f"b.{value_col}").cast("double")
     q = v_lo + (F.col("t.pos") - F.col("t.lo").cast("double")) * (v_hi - v_lo)
-    return joined.select(*[F.col(f"t.{g}").alias(g) for g in groups], F.col("t.p").alias("p"), F.col("t.n").alias("n"), q.alias("q"))
+    out = joined.select(*[F.col(f"t.{g}").alias(g) for g in groups], F.col("t.p").alias("p"), F.col("t.n").alias("n"), q.alias("q"))
+    return out, run.stored
+
+
+def exact_quantiles(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value_col: str,
+    probs: Sequence[float],
+    slices: int | None = None,
+) -> DataFrame:
+    """Continuous quantiles per group: (group..., p, n, q); nulls skipped.
+
+    One aggregation to (group, value, count), one stored range-partitioned
+    running sum, then a filter that keeps at most two rows per (group, p).
+    No group is ever gathered into a single task.
+    """
+    return quantiles_from_counts(value_counts(df, group_cols, value_col), group_cols, value_col, probs, slices)[0]
 
 
-__all__ = ["exact_quantiles", "running_totals"]
+__all__ = ["Running", "exact_quantiles", "quantiles_from_counts", "running_totals", "value_counts"]

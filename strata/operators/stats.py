@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import as_double, rnd
 from strata.operators.profile import feature_long
-from strata.operators.ranking import exact_quantiles
+from strata.operators.ranking import quantiles_from_counts, value_counts
 from strata.plans.physical import join_small
 
 
@@ -118,7 +118,8 @@ def box_stats(
     keys = ["feature", *by]
     long = feature_long(df, cols, by)
     if method == "exact":
-        q = exact_quantiles(long, keys, "value", [0.25, 0.5, 0.75])
+        # (feature, class, value, count): far smaller than the rows when values repeat
+        q, counts = quantiles_from_counts(value_counts(long, keys, "value"), keys, "value", [0.25, 0.5, 0.75])
         quart = q.groupBy(*keys).agg(
             F.first("n").alias("n"),
             F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
@@ -127,6 +128,7 @@ def box_stats(
         )
     elif method == "approx":
         pa = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
+        counts = long.withColumn("_c", F.lit(1))
         quart = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), pa.alias("_q")).select(
             *keys, "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3")
         )
@@ -143,13 +145,13 @@ def box_stats(
         (F.col("q1") - F.lit(whisker) * iqr).alias("lo_fence"),
         (F.col("q3") + F.lit(whisker) * iqr).alias("hi_fence"),
     )
-    v = F.col("value")
+    v, c = F.col("value"), F.col("_c")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    tails = join_small(long, fences.select(*keys, "lo_fence", "hi_fence"), keys).groupBy(*keys).agg(
+    tails = join_small(counts, fences.select(*keys, "lo_fence", "hi_fence"), keys).groupBy(*keys).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.count_if(v < F.col("lo_fence")).alias("n_low"),
-        F.count_if(v > F.col("hi_fence")).alias("n_high"),
+        F.coalesce(F.sum(F.when(v < F.col("lo_fence"), c)), F.lit(0)).cast("bigint").alias("n_low"),
+        F.coalesce(F.sum(F.when(v > F.col("hi_fence"), c)), F.lit(0)).cast("bigint").alias("n_high"),
     )
     out = fences.join(tails, keys, "inner").withColumn("n_outliers", F.col("n_low") + F.col("n_high"))
     dbl = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi"]

@@ -35,6 +35,34 @@ def join_small(
     return big.join(side, on=on, how=how)
 
 
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than the cluster can run.
+
+    For inputs read from a handful of large files (one task per row group)
+    before iterative work such as model fitting.  On a large input with many
+    splits it returns ``df`` unchanged, so no shuffle is added at scale.
+    """
+    want = minimum or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads the files instead of
+    recomputing the plan) and turns anything nondeterministic in ``df`` — a
+    partition id, a sampled range bound — into stored data.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/strata-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's shared checkpoint folder.
 
