@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.plans.physical import ensure_parallelism
 from strata.functions.columns import as_double, is_missing, nan_to_null, numeric_columns, pct, rnd
 
 
@@ -193,7 +194,8 @@ def class_filter(df: DataFrame, label: str, value) -> DataFrame:
 def feature_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), drop_missing: bool = True) -> DataFrame:
     """Unpivot ``cols`` into (by..., feature, value double); each feature drops its own missing rows."""
     names = list(cols)
-    clean = df.select(*by, *[as_double(df, c) for c in names])
+    # the unpivot multiplies rows by len(cols): spread an under-partitioned input first
+    clean = ensure_parallelism(df.select(*by, *[as_double(df, c) for c in names]))
     long = clean.unpivot(list(by), names, "feature", "value")
     return long.filter(F.col("value").isNotNull()) if drop_missing else long
 

@@ -100,28 +100,33 @@ def quantiles_from_counts(
         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
     ).withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
     target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn("hi", F.ceil("pos").cast("bigint"))
+    target = target.persist()  # groups x probs rows, used three times below
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
-    # keep only rows whose rank interval [cum - c, cum) holds a wanted rank: <= 2 * len(probs) per group
+    # rows whose rank interval [cum - c, cum) holds a wanted rank: at most 2 * len(probs) per group
     covering = (
         join_small(run.rows, ranks, groups)
         .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
         .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
+        .persist()
     )
-    t, a, b = target.alias("t"), covering.alias("a"), covering.alias("b")
-    on_lo = [F.col(f"t.{g}").eqNullSafe(F.col(f"a.{g}")) for g in groups] + [
-        F.col("a._from") <= F.col("t.lo"),
-        F.col("t.lo") < F.col("a._to"),
+    wanted = target.select(
+        *groups, "p", "n", "pos", "lo",
+        F.inline(F.array(F.struct(F.lit(0).alias("_hi"), F.col("lo").alias("_rank")), F.struct(F.lit(1).alias("_hi"), F.col("hi").alias("_rank")))),
+    ).alias("t")
+    c = covering.alias("c")
+    cond = [F.col(f"t.{g}").eqNullSafe(F.col(f"c.{g}")) for g in groups] + [
+        F.col("c._from") <= F.col("t._rank"),
+        F.col("t._rank") < F.col("c._to"),
     ]
-    on_hi = [F.col(f"t.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups] + [
-        F.col("b._from") <= F.col("t.hi"),
-        F.col("t.hi") < F.col("b._to"),
-    ]
-    joined = t.join(F.broadcast(a), on_lo, "left").join(F.broadcast(b), on_hi, "left")
-    v_lo = F.col(f"a.{value_col}").cast("double")
-    v_hi = F.col(f"b.{value_col}").cast("double")
-    q = v_lo + (F.col("t.pos") - F.col("t.lo").cast("double")) * (v_hi - v_lo)
-    out = joined.select(*[F.col(f"t.{g}").alias(g) for g in groups], F.col("t.p").alias("p"), F.col("t.n").alias("n"), q.alias("q"))
-    return out, run.stored
+    matched = wanted.join(F.broadcast(c), cond, "left").select(
+        *[F.col(f"t.{g}").alias(g) for g in groups], "t.p", "t.n", "t.pos", "t.lo", "t._hi", F.col(f"c.{value_col}").cast("double").alias("_v")
+    )
+    pair = matched.groupBy(*groups, "p", "n", "pos", "lo").agg(
+        F.max(F.when(F.col("_hi") == 0, F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_hi") == 1, F.col("_v"))).alias("_vhi"),
+    )
+    q = F.col("_vlo") + (F.col("pos") - F.col("lo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
+    return pair.select(*groups, "p", "n", q.alias("q")), run.stored
 
 
 def exact_quantiles(

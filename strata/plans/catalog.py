@@ -882,6 +882,32 @@ def q_model_comparison(spark, sf):
     return model_comparison(_model_inputs(spark, sf), FEATURES, IMPUTED, LABEL, KEYS).drop("fit_seconds")
 
 
+@query("gold_report")
+def q_gold_report(spark, sf):
+    from strata.plans.gold import gold_report, run_models
+
+    run = run_models(_model_inputs(spark, sf), FEATURES, IMPUTED, LABEL, KEYS)
+    return gold_report(run, FEATURES)
+
+
+@query("cross_validation")
+def q_cross_validation(spark, sf):
+    from strata.plans.gold import cross_validate
+
+    return cross_validate(_model_inputs(spark, sf), FEATURES, IMPUTED, LABEL, KEYS)
+
+
+@query("regression_models")
+def q_regression_models(spark, sf):
+    from strata.plans.gold import regression_baselines
+    from strata.plans.physical import join_small
+
+    li = table(spark, sf, "lineitem").select(*KEYS, "l_extendedprice", "l_quantity", "l_discount")
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size")
+    j = join_small(li, part, "l_partkey")
+    return regression_baselines(FE.hash_split(j, KEYS), ["l_quantity", "l_discount", "p_retailprice", "p_size"], "l_extendedprice", KEYS)
+
+
 @query("stream_scoring")
 def q_stream_scoring(spark, sf):
     from strata.streaming.scoring import score_files

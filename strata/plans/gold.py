@@ -69,7 +69,19 @@ def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute
     return importances(model, features, MODEL_NAMES[kind])
 
 
-def model_comparison(
+class GoldRun:
+    """Everything one comparison run produced: fitted pipelines, the long predictions, metrics and timings."""
+
+    def __init__(self, models, preds, metrics, fit_seconds, train_rows, test_rows):
+        self.models = models
+        self.preds = preds
+        self.metrics = metrics
+        self.fit_seconds = fit_seconds
+        self.train_rows = train_rows
+        self.test_rows = test_rows
+
+
+def run_models(
     df: DataFrame,
     features: Sequence[str],
     impute: Sequence[str],
@@ -77,11 +89,7 @@ def model_comparison(
     keys: Sequence[str],
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
-) -> DataFrame:
-    """Fit every model, score the shared test rows once, and compute all metrics in grouped passes.
-
-    Returns (model, accuracy, f1, weighted_precision, weighted_recall, n, auc, fit_seconds, is_best).
-    """
+) -> GoldRun:
     train, test = _split(df)
     # fit imputation and scaling once; every classifier trains on the same cached vectors
     prep = preprocessing(features, impute).fit(train)
@@ -93,11 +101,123 @@ def model_comparison(
         for k in kinds
     }
     fitted = fit_all(clfs, train_v)
-    # full pipelines (preprocessing + classifier) are what a caller would save
+    # full pipelines (preprocessing + classifier) are what a caller saves and reloads
     models = {n: PipelineModel(stages=[*prep.stages, *m.stages]) for n, (m, _) in fitted.items()}
     preds = predictions_long({n: fitted[n][0] for n in models}, test_v, keys, label).persist()
     metrics = E.evaluate(preds, "label", "prediction", "score", by=["model"])
+    return GoldRun(models, preds, metrics, {n: s for n, (_, s) in fitted.items()}, train_v, test_v)
+
+
+def gold_report(run: GoldRun, features: Sequence[str], layer: str = "gold") -> DataFrame:
+    """(layer, section, key, value) for the best model: sizes, metrics, confusion cells, importances, params, and
+    every model's metrics.  The best model is the arg-max of accuracy (ties by name)."""
+    spark = run.preds.sparkSession
+    marked = E.mark_best(run.metrics, "accuracy", "model")
+    best = marked.filter("is_best").select("model")
+    kpi = "layer string, section string, key string, value double"
+    sizes = run.train_rows.agg(F.count(F.lit(1)).cast("double").alias("v")).select(
+        F.lit(layer).alias("layer"), F.lit("table").alias("section"), F.lit("train_size").alias("key"), F.col("v").alias("value")
+    ).unionByName(
+        run.test_rows.agg(F.count(F.lit(1)).cast("double").alias("v")).select(
+            F.lit(layer), F.lit("table"), F.lit("test_size"), F.col("v")
+        ).toDF("layer", "section", "key", "value")
+    )
+    comparison = E.metrics_long(marked.drop("is_best", "n"), ["model"]).select(
+        F.lit(layer).alias("layer"), F.concat(F.lit("model_comparison."), F.col("model")).alias("section"),
+        F.col("metric").alias("key"), F.col("value"),
+    )
+    best_metrics = comparison.join(best.select(F.concat(F.lit("model_comparison."), F.col("model")).alias("section")), "section").select(
+        "layer", F.lit("metrics").alias("section"), "key", "value"
+    )
+    cm = E.confusion_wide(run.preds, "label", "prediction", ["model"]).join(best, "model")
+    cells = cm.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(layer).alias("layer"), F.lit("confusion_matrix").alias("section"), F.lit(c.upper()).alias("key"), F.col(c).cast("double").alias("value")) for c in ("tn", "fp", "fn", "tp")])
+        )
+    )
+    best_name = best.first()
+    rows = []
+    if best_name is not None:
+        model = run.models[best_name["model"]]
+        last = model.stages[-1]
+        if hasattr(last, "featureImportances"):
+            rows += [(layer, "feature_importance", f, float(v)) for f, v in zip(features, last.featureImportances.toArray())]
+        for p, v in last.extractParamMap().items():
+            if isinstance(v, (int, float)) and not isinstance(v, bool):
+                rows.append((layer, "hyperparameters", p.name, float(v)))
+    extra = spark.createDataFrame(rows, kpi)
+    return sizes.unionByName(best_metrics).unionByName(cells).unionByName(extra).unionByName(comparison)
+
+
+def model_comparison(
+    df: DataFrame,
+    features: Sequence[str],
+    impute: Sequence[str],
+    label: str,
+    keys: Sequence[str],
+    kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
+    params: Mapping[str, Mapping] | None = None,
+) -> DataFrame:
+    """Fit every model, score the shared test rows once, and compute all metrics in grouped passes.
+
+    Returns (model, accuracy, f1, weighted_precision, weighted_recall, n, auc, fit_seconds, is_best).
+    """
+    run = run_models(df, features, impute, label, keys, kinds, params)
     spark = df.sparkSession
-    secs = spark.createDataFrame([(n, float(s)) for n, (_, s) in fitted.items()], "model string, fit_seconds double")
-    out = metrics.join(secs, "model", "left")
+    secs = spark.createDataFrame([(n, float(v)) for n, v in run.fit_seconds.items()], "model string, fit_seconds double")
+    out = run.metrics.join(secs, "model", "left")
     return E.mark_best(out, "accuracy", "model")
+
+
+def cross_validate(
+    df: DataFrame,
+    features: Sequence[str],
+    impute: Sequence[str],
+    label: str,
+    keys: Sequence[str],
+    folds: int = 3,
+    reg_params: Sequence[float] = (0.0, 0.01, 0.1),
+) -> DataFrame:
+    """k-fold cross-validation of logistic regression over ``regParam``; folds come from the key hash.
+
+    Returns (reg_param, mean_auc, is_best).  Folds are layout-independent, like the split.
+    """
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from strata.operators.features import fold_column
+
+    train, _ = _split(df)
+    prep = preprocessing(features, impute).fit(train)
+    data = prep.transform(train).select(label, "features", fold_column(keys, folds)).persist()
+    lr = classifier("lr", features="features", label=label, maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds)
+    fitted = cv.fit(data)
+    spark = df.sparkSession
+    rows = [(float(m[lr.regParam]), float(a)) for m, a in zip(grid, fitted.avgMetrics)]
+    out = spark.createDataFrame(rows, "reg_param double, mean_auc double")
+    return E.mark_best(out, "mean_auc", "reg_param")
+
+
+def regression_baselines(df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str]) -> DataFrame:
+    """Linear (ridge) regression and gradient-boosted trees on the hash split; (model, n, rmse, mae, r2) on test."""
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    from strata.operators.quality import regression_metrics
+
+    train, test = _split(df)
+    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    models = {
+        "Ridge Regression": LinearRegression(featuresCol="features", labelCol=target, regParam=0.1, elasticNetParam=0.0),
+        "Gradient Boosted Regression": GBTRegressor(featuresCol="features", labelCol=target, maxIter=10, maxDepth=5, seed=42),
+    }
+    frames = []
+    for name, est in models.items():
+        fitted = Pipeline(stages=[asm, est]).fit(train)
+        frames.append(fitted.transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y"), F.col("prediction").alias("yhat")))
+    allp = frames[0]
+    for f in frames[1:]:
+        allp = allp.unionByName(f)
+    return regression_metrics(allp, "y", "yhat", ["model"])

@@ -55,7 +55,7 @@ def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
 def test_running_totals_across_slices(spark):
     rows = [("a", i, 1) for i in range(100)] + [("b", i, 2) for i in range(10)]
     df = spark.createDataFrame(rows, "g string, k int, w int")
-    out = {(r["g"], r["k"]): r["cum_w"] for r in running_totals(df, ["g"], "k", ["w"], slices=7).collect()}
+    out = {(r["g"], r["k"]): r["cum_w"] for r in running_totals(df, ["g"], "k", ["w"], slices=7).rows.collect()}
     assert out[("a", 99)] == 100 and out[("a", 49)] == 50 and out[("b", 9)] == 20
 
 
