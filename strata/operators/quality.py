@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import rnd
+from strata.functions.columns import rnd, safe_ratio
 
 
 def range_violations(df: DataFrame, rules: Sequence[tuple[str, float | None, float | None]]) -> DataFrame:
@@ -44,7 +44,8 @@ def regression_metrics(df: DataFrame, label: str, pred: str, by: Sequence[str] =
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - F.sum(err * err) / (F.count(F.lit(1)) * F.var_pop(y))).alias("r2"),
+        # null for a constant target (ANSI mode raises on x / 0.0)
+        (F.lit(1.0) - safe_ratio(F.sum(err * err), F.count(F.lit(1)) * F.var_pop(y))).alias("r2"),
     )
     if digits is not None:
         for c in ("rmse", "mae", "r2"):

@@ -653,6 +653,7 @@ def _kpi_sql(layer: str, section: str, pairs, src: str) -> str:
             _kpi_sql("bronze", "missing_pct", [(c, f"round(100.0 * (m_{c}::DOUBLE / n), 2) + 0.0") for c in SAMPLE_COLS], "a"),
             _kpi_sql("bronze", "label_distribution", [("0", "l0"), ("1", "l1")], "a"),
             _kpi_sql("bronze", "table", [("duplicates", "dup")], "d"),
+            _kpi_sql("bronze", "schema", [("qty:double", "0"), ("price:double", "1"), ("tax:double", "2"), ("disc:double", "3"), ("y:int", "4")], "d"),
         ]
     ),
 )

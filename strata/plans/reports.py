@@ -20,9 +20,19 @@ _KPI = "layer string, section string, key string, value double"
 
 def _kpi(df: DataFrame, layer: str, section: str, pairs: Sequence[tuple[str, object]]) -> DataFrame:
     """One-row aggregate → (layer, section, key, value) rows."""
+    return _kpis(df, layer, [(section, k, c) for k, c in pairs])
+
+
+def _kpis(df: DataFrame, layer: str, triples: Sequence[tuple[str, str, object]]) -> DataFrame:
+    """One-row aggregate → every (section, key, column) as a row, in a single ``inline``."""
     cells = [
-        F.struct(F.lit(layer).alias("layer"), F.lit(section).alias("section"), F.lit(k).alias("key"), F.col(c).cast("double").alias("value"))
-        for k, c in pairs
+        F.struct(
+            F.lit(layer).alias("layer"),
+            F.lit(sec).alias("section"),
+            F.lit(k).alias("key"),
+            (F.col(c) if isinstance(c, str) else c).cast("double").alias("value"),
+        )
+        for sec, k, c in triples
     ]
     return df.select(F.inline(F.array(*cells)))
 
@@ -39,12 +49,19 @@ def bronze_report(df: DataFrame, label: str, classes: Sequence[int] = (0, 1), la
     one = df.agg(*aggs).withColumn("_cols", F.lit(len(names)))
     for i, _ in enumerate(names):
         one = one.withColumn(f"_p{i}", pct(F.col(f"_m{i}"), F.col("_n")))
+    main = (
+        [("table", "total_rows", "_n"), ("table", "total_columns", "_cols")]
+        + [("missing_values", c, f"_m{i}") for i, c in enumerate(names)]
+        + [("missing_pct", c, f"_p{i}") for i, c in enumerate(names)]
+        + [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes)]
+    )
     parts = [
-        _kpi(one, layer, "table", [("total_rows", "_n"), ("total_columns", "_cols")]),
-        _kpi(one, layer, "missing_values", [(c, f"_m{i}") for i, c in enumerate(names)]),
-        _kpi(one, layer, "missing_pct", [(c, f"_p{i}") for i, c in enumerate(names)]),
-        _kpi(one, layer, "label_distribution", [(str(k), f"_l{j}") for j, k in enumerate(classes)]),
+        _kpis(one, layer, main),
         _kpi(duplicate_count(df), layer, "table", [("duplicates", "n_duplicates")]),
+        # schema metadata: no job over the data
+        df.sparkSession.createDataFrame(
+            [(layer, "schema", f"{f.name}:{f.dataType.simpleString()}", float(i)) for i, f in enumerate(df.schema.fields)], _KPI
+        ),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -68,7 +85,12 @@ def silver_report(
     layer: str = "silver",
 ) -> DataFrame:
     """Rows, duplicates removed, imputation means, missing after, label counts, feature stats."""
-    clean, means = silver_tables(raw, impute_cols)
+    means_row = raw.select(*[as_double(raw, c) for c in impute_cols]).agg(
+        F.count(F.lit(1)).alias("_before"), *[F.avg(c).alias(c) for c in impute_cols]
+    ).first()
+    before = int(means_row["_before"])
+    means = {c: means_row[c] for c in impute_cols}
+    clean = dedup(impute(raw, impute_cols, means=means))
     names = clean.columns
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(is_missing(clean, c)).alias(f"_m{i}") for i, c in enumerate(names)]
@@ -82,33 +104,19 @@ def silver_report(
             rnd(F.max(x), digits).alias(f"_hi{i}"),
         ]
     with_feats = clean.select("*", *[as_double(clean, c).alias(f"_f{i}") for i, c in enumerate(feature_cols)])
-    # one pass over the clean table, one over the raw table
+    # one pass over the clean table; everything below is read off its single row
     one = with_feats.agg(*aggs)
-    before = raw.agg(F.count(F.lit(1)).alias("_before"))
-    spark = raw.sparkSession
-    mean_rows = [(layer, "imputation_applied", c, m) for c, m in means.items()]
-    parts = [
-        _kpi(one, layer, "table", [("total_rows", "_n")]),
-        _kpi(before, layer, "table", [("rows_before", "_before")]),
-        spark.createDataFrame(mean_rows, _KPI).withColumn("value", rnd(F.col("value"), digits)),
-        _kpi(one, layer, "missing_after", [(c, f"_m{i}") for i, c in enumerate(names)]),
-        _kpi(one, layer, "label_distribution", [(str(k), f"_l{j}") for j, k in enumerate(classes)]),
+    triples = [
+        ("table", "total_rows", "_n"),
+        ("table", "rows_before", F.lit(before)),
+        ("table", "duplicates_removed", F.lit(before) - F.col("_n")),
     ]
+    triples += [("imputation_applied", c, rnd(F.lit(m).cast("double"), digits)) for c, m in means.items()]
+    triples += [("missing_after", c, f"_m{i}") for i, c in enumerate(names)]
+    triples += [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes)]
     for i, c in enumerate(feature_cols):
-        parts.append(
-            _kpi(one, layer, f"feature_stats.{c}", [("mean", f"_a{i}"), ("std", f"_s{i}"), ("min", f"_lo{i}"), ("max", f"_hi{i}")])
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    table_rows = out.filter(F.col("section") == "table")
-    removed = table_rows.groupBy().agg(
-        (
-            F.sum(F.when(F.col("key") == "rows_before", F.col("value")))
-            - F.sum(F.when(F.col("key") == "total_rows", F.col("value")))
-        ).alias("_d")
-    )
-    return out.unionByName(_kpi(removed, layer, "table", [("duplicates_removed", "_d")]))
+        triples += [(f"feature_stats.{c}", k, f"_{p}{i}") for k, p in (("mean", "a"), ("std", "s"), ("min", "lo"), ("max", "hi"))]
+    return _kpis(one, layer, triples)
 
 
 def layer_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
@@ -148,7 +156,7 @@ def stats_document(bronze: DataFrame) -> DataFrame:
         F.first(F.when(F.col("section") == "missing_values", F.col("m")), ignorenulls=True).alias("missing_values"),
         F.first(F.when(F.col("section") == "label_distribution", F.col("m")), ignorenulls=True).alias("label_distribution"),
     )
-    return scalars.join(maps, "layer", "left")
+    return scalars.join(maps, "layer", "left").withColumn("run_at", F.current_timestamp())
 
 
 def decode_names(mapping: Mapping[int, str]) -> str:
