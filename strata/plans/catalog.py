@@ -909,6 +909,21 @@ def q_regression_models(spark, sf):
     return regression_baselines(FE.hash_split(j, KEYS), ["l_quantity", "l_discount", "p_retailprice", "p_size"], "l_extendedprice", KEYS)
 
 
+@query("stream_model_scoring")
+def q_stream_model_scoring(spark, sf):
+    """A decision-tree pipeline fitted on the training rows scores lineitem as a file stream."""
+    from strata.operators.models import build_pipeline
+    from strata.plans.gold import QUERY_PARAMS, _split
+    from strata.plans.readings import readings_of
+    from strata.streaming.scoring import score_model_files
+
+    train, _ = _split(_model_inputs(spark, sf))
+    model = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **QUERY_PARAMS["dt"]).fit(train)
+    return score_model_files(
+        spark, model, f"{sf.rstrip('/')}/lineitem.parquet", _scratch(spark, "stream-model"), prepare=readings_of, keep=[*KEYS, LABEL]
+    )
+
+
 @query("stream_scoring")
 def q_stream_scoring(spark, sf):
     from strata.streaming.scoring import score_files

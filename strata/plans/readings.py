@@ -33,7 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``readings`` view as DataFrame expressions (column pruning reaches the scan)."""
-    li = table(spark, sf_dir, "lineitem")
+    return readings_of(table(spark, sf_dir, "lineitem"))
+
+
+def readings_of(li: DataFrame) -> DataFrame:
+    """The same projection over any lineitem-shaped frame, batch or streaming."""
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
     null = F.lit(None).cast("double")
     return li.select(

@@ -35,8 +35,7 @@ def score_model_stream(stream: DataFrame, model) -> DataFrame:
     return model.transform(stream)
 
 
-def score_files(spark: SparkSession, source: str, out_dir: str, max_files_per_trigger: int = 16) -> DataFrame:
-    """Run the scoring stream over ``source`` until drained; return the sink as a batch frame."""
+def _file_stream(spark: SparkSession, source: str, max_files_per_trigger: int) -> DataFrame:
     schema = spark.read.parquet(source).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     if source.endswith(".parquet") and not any(ch in source for ch in "*?[{"):
@@ -44,10 +43,12 @@ def score_files(spark: SparkSession, source: str, out_dir: str, max_files_per_tr
         folder, name = source.rsplit("/", 1)
         source = f"{folder}/{name[:-len('.parquet')]}*.parquet"
         reader = reader.option("basePath", folder)
-    stream = reader.parquet(source)
+    return reader.parquet(source)
+
+
+def _drain(frame: DataFrame, out_dir: str) -> None:
     query = (
-        score_readings(stream)
-        .writeStream.format("parquet")
+        frame.writeStream.format("parquet")
         .option("path", f"{out_dir}/data")
         .option("checkpointLocation", f"{out_dir}/checkpoint")
         .outputMode("append")
@@ -55,4 +56,26 @@ def score_files(spark: SparkSession, source: str, out_dir: str, max_files_per_tr
         .start()
     )
     query.awaitTermination()
+
+
+def score_model_files(spark: SparkSession, model, source: str, out_dir: str, prepare=None, keep=(), max_files_per_trigger: int = 16) -> DataFrame:
+    """Score arriving files with a fitted ``PipelineModel``; ``prepare`` maps raw rows to model inputs.
+
+    Writes (keep..., prediction, p1) and returns the sink as a batch frame.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    stream = _file_stream(spark, source, max_files_per_trigger)
+    if prepare is not None:
+        stream = prepare(stream)
+    scored = model.transform(stream).select(
+        *keep, F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("p1")
+    )
+    _drain(scored, out_dir)
+    return spark.read.parquet(f"{out_dir}/data")
+
+
+def score_files(spark: SparkSession, source: str, out_dir: str, max_files_per_trigger: int = 16) -> DataFrame:
+    """Run the scoring stream over ``source`` until drained; return the sink as a batch frame."""
+    _drain(score_readings(_file_stream(spark, source, max_files_per_trigger)), out_dir)
     return spark.read.parquet(f"{out_dir}/data")

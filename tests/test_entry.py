@@ -24,3 +24,19 @@ def test_stream_scoring_equals_batch(spark):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "y", "score", "prediction"
     )
     assert q.drop("needs_review").exceptAll(batch).count() == 0 and q.count() == batch.count()
+
+
+def test_stream_model_scoring_equals_batch_transform(spark):
+    from strata.operators.models import build_pipeline
+    from strata.plans.readings import FEATURES, KEYS, LABEL, readings, readings_of
+    from strata.streaming.scoring import score_model_files
+    import tempfile
+
+    r = readings(spark, SF0001)
+    model = build_pipeline("dt", FEATURES, LABEL, impute=["qty", "price", "tax"], maxDepth=3, seed=42).fit(r)
+    out = score_model_files(spark, model, f"{SF0001}/lineitem.parquet", tempfile.mkdtemp(prefix="strata-sm-"), prepare=readings_of, keep=KEYS)
+    from pyspark.sql import functions as F
+
+    batch = model.transform(r).select(*KEYS, F.col("prediction").cast("int").alias("prediction"))
+    assert out.count() == r.count()
+    assert out.select(*KEYS, "prediction").exceptAll(batch).count() == 0
