@@ -43,6 +43,28 @@ def correlation_long(df: DataFrame, cols: Sequence[str], digits: int | None = 6)
     return wide.select(F.inline(F.array(*cells)))
 
 
+def correlation_vector(df: DataFrame, vec_col: str, names: Sequence[str] | None = None, digits: int | None = 6) -> DataFrame:
+    """Pearson matrix of a vector / array column in long form (i, j, col_a, col_b, corr).
+
+    For wide inputs (dozens of components) one MLlib ``Correlation.corr`` pass
+    replaces n(n+1)/2 separate aggregates.  The input must be complete; the
+    n x n result is bounded by the width, not the row count.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Correlation
+    from pyspark.sql import types as T
+
+    vec = df.select(
+        array_to_vector(F.col(vec_col)).alias("_v") if isinstance(df.schema[vec_col].dataType, T.ArrayType) else F.col(vec_col).alias("_v")
+    )
+    matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    n = matrix.shape[0]
+    labels = list(names) if names is not None else [f"{vec_col}[{k}]" for k in range(n)]
+    rows = [(i, j, labels[i], labels[j], float(matrix[i, j])) for i in range(n) for j in range(n)]
+    out = df.sparkSession.createDataFrame(rows, "i int, j int, col_a string, col_b string, corr double")
+    return out.withColumn("corr", rnd(F.col("corr"), digits)) if digits is not None else out
+
+
 def correlation_lower(corr_long: DataFrame) -> DataFrame:
     """Strict lower triangle (the complement of the upper-triangle mask)."""
     return corr_long.filter(F.col("i") > F.col("j"))

@@ -334,6 +334,16 @@ def q_correlation_lower(spark, sf):
     return S.correlation_lower(S.correlation_long(readings(spark, sf), SAMPLE_COLS))
 
 
+@query(
+    "correlation_wide",
+    "SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j, 'embedding[' || a.i || ']' AS col_a, 'embedding[' || b.j || ']' AS col_b, "
+    "round(corr(e.embedding[a.i + 1]::DOUBLE, e.embedding[b.j + 1]::DOUBLE), 6) + 0.0 AS corr "
+    "FROM embeddings e CROSS JOIN range(0, 64) AS a(i) CROSS JOIN range(0, 64) AS b(j) GROUP BY a.i, b.j",
+)
+def q_correlation_wide(spark, sf):
+    return S.correlation_vector(table(spark, sf, "embeddings"), "embedding")
+
+
 LONG_CTE = f"{W}, lg AS (" + _u(
     f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS value FROM r WHERE {c} IS NOT NULL" for c in FEATURES
 ) + ")"
