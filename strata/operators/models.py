@@ -80,14 +80,31 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
-def fit_all(pipelines: Mapping[str, Pipeline], train: DataFrame) -> dict[str, tuple[PipelineModel, float]]:
-    """Fit each pipeline on the (cached) training frame; returns model and fit seconds."""
-    out = {}
-    for name, pipe in pipelines.items():
+def fit_all(
+    pipelines: Mapping[str, Pipeline], train: DataFrame, parallelism: int | None = None
+) -> dict[str, tuple[PipelineModel, float]]:
+    """Fit each pipeline on the (cached) training frame; returns model and fit seconds.
+
+    Independent fits are submitted from a small thread pool (as MLlib's
+    ``CrossValidator(parallelism=...)`` does), so one model's driver-side
+    phases overlap with another's distributed jobs.  ``parallelism=1`` fits
+    one after another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    def fit(item):
+        name, pipe = item
         t0 = time.perf_counter()
         model = pipe.fit(train)
-        out[name] = (model, time.perf_counter() - t0)
-    return out
+        return name, (model, time.perf_counter() - t0)
+
+    workers = max(1, min(parallelism or len(pipelines), len(pipelines)))
+    if workers == 1:
+        return dict(fit(item) for item in pipelines.items())
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(pool.map(inheritable_thread_target(fit), list(pipelines.items())))
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str, keys: Sequence[str], label: str) -> DataFrame:

@@ -61,14 +61,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/strata-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder.
-
-    Used where a frame's partition layout must stay fixed across several
-    jobs (range-partitioned prefix sums).  Survives executor loss, unlike a
-    local checkpoint.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -30,11 +30,6 @@ def score_readings(stream: DataFrame, eps: float = 0.1) -> DataFrame:
     )
 
 
-def score_model_stream(stream: DataFrame, model) -> DataFrame:
-    """Apply a fitted ``PipelineModel`` to a stream (transform is a narrow map)."""
-    return model.transform(stream)
-
-
 def _file_stream(spark: SparkSession, source: str, max_files_per_trigger: int) -> DataFrame:
     schema = spark.read.parquet(source).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)

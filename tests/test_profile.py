@@ -89,3 +89,10 @@ def test_preview_needs_order(spark):
 def test_schema_profile(spark):
     out = P.schema_profile(small(spark)).collect()
     assert [(r["column"], r["type"]) for r in out] == [("a", "double"), ("y", "int"), ("b", "double")]
+
+
+def test_missing_violations_name_the_columns(spark):
+    from strata.operators.clean import missing_violations
+
+    out = missing_violations(small(spark), ["a", "b"]).collect()
+    assert sorted(tuple(r["missing_in"]) for r in out) == [("a",), ("a", "b")]
