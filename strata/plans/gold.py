@@ -33,8 +33,22 @@ QUERY_PARAMS = {
 
 def _split(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
     """(train, test) as filters of one cached, spread-out input (read once, used by every fit)."""
+    return _split_base(df, split_col)[1:]
+
+
+def _split_base(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame, DataFrame]:
     base = ensure_parallelism(df).persist()
-    return base.filter(F.col(split_col) == "train"), base.filter(F.col(split_col) == "test")
+    return base, base.filter(F.col(split_col) == "train"), base.filter(F.col(split_col) == "test")
+
+
+def _vectors(prep: PipelineModel, frames, cols) -> list[DataFrame]:
+    """Transform and cache each frame's model inputs, materialised once."""
+    out = []
+    for f in frames:
+        v = prep.transform(f).select(*cols).persist()
+        v.count()
+        out.append(v)
+    return out
 
 
 def preprocessing(features: Sequence[str], impute: Sequence[str]) -> Pipeline:
@@ -90,12 +104,11 @@ def run_models(
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
 ) -> GoldRun:
-    train, test = _split(df)
+    base, train, test = _split_base(df)
     # fit imputation and scaling once; every classifier trains on the same cached vectors
     prep = preprocessing(features, impute).fit(train)
-    cols = [*keys, label, "features"]
-    train_v = prep.transform(train).select(*cols).persist()
-    test_v = prep.transform(test).select(*cols).persist()
+    train_v, test_v = _vectors(prep, [train, test], [*keys, label, "features"])
+    base.unpersist()  # only the vectors stay cached
     clfs = {
         MODEL_NAMES[k]: Pipeline(stages=[classifier(k, features="features", label=label, **((params or {}).get(k) or QUERY_PARAMS[k]))])
         for k in kinds
@@ -187,13 +200,16 @@ def cross_validate(
 
     from strata.operators.features import fold_column
 
-    train, _ = _split(df)
+    base, train, _ = _split_base(df)
     prep = preprocessing(features, impute).fit(train)
-    data = prep.transform(train).select(label, "features", fold_column(keys, folds)).persist()
+    (data,) = _vectors(prep, [train], [label, "features", fold_column(keys, folds)])
+    base.unpersist()
     lr = classifier("lr", features="features", label=label, maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds)
+    cv = CrossValidator(
+        estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds, parallelism=min(4, len(grid))
+    )
     fitted = cv.fit(data)
     spark = df.sparkSession
     rows = [(float(m[lr.regParam]), float(a)) for m, a in zip(grid, fitted.avgMetrics)]
