@@ -86,7 +86,15 @@ def classification_metrics(df: DataFrame, label: str, pred: str, by: Sequence[st
     return out
 
 
-def auc_roc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), positive: int = 1, digits: int | None = 6, slices: int | None = None) -> DataFrame:
+def auc_roc(
+    df: DataFrame,
+    label: str,
+    score: str,
+    by: Sequence[str] = (),
+    positive: int = 1,
+    digits: int | None = 6,
+    slices: int | None = None,
+) -> DataFrame:
     """Exact area under ROC per group: P(score+ > score-) + ½ P(score+ = score-).
 
     Rows are first counted per (group, score); the negatives below each score

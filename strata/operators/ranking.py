@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.plans.physical import join_small, materialize
+from strata.plans.physical import MAX_BROADCAST_ROWS, join_bounded, materialize
 
 
 def _slices(df: DataFrame, slices: int | None) -> int:
@@ -25,12 +25,14 @@ def _slices(df: DataFrame, slices: int | None) -> int:
 
 
 class Running:
-    """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input."""
+    """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input (with ``_slice``)."""
 
-    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame):
+    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame, bounded: bool):
         self.rows = rows
         self.totals = totals
         self.stored = stored
+        # every frame derived from the (slice, group) totals has at most that many rows
+        self.bounded = bounded
 
 
 def running_totals(
@@ -54,7 +56,9 @@ def running_totals(
     )
     stored = materialize(ranged, "ranked")
     source.unpersist()
-    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
+    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols]).persist()
+    # (slice, group) pairs: at most slices + groups - 1, counted once
+    bounded = totals.count() <= MAX_BROADCAST_ROWS
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_slice",
@@ -65,13 +69,12 @@ def running_totals(
         Window.unboundedPreceding, Window.currentRow
     )
     local = stored.select("*", *[F.sum(w).over(inside).alias(f"_r_{w}") for w in weight_cols])
-    # offsets hold at most (slices + groups) rows
-    joined = join_small(local, offsets, ["_slice", *groups])
+    joined = join_bounded(local, offsets, ["_slice", *groups], bounded=bounded)
     rows = joined.select(
         *df.columns, *[(F.col(f"_o_{w}") + F.col(f"_r_{w}")).alias(f"cum_{w}") for w in weight_cols]
     )
     group_totals = totals.groupBy(*groups).agg(*[F.sum(f"_t_{w}").alias(f"total_{w}") for w in weight_cols])
-    return Running(rows, group_totals, stored.drop("_slice"))
+    return Running(rows, group_totals, stored, bounded)
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
@@ -85,8 +88,8 @@ def quantiles_from_counts(
     value_col: str,
     probs: Sequence[float],
     slices: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Continuous quantiles from a (group, value, _c) frame; returns (quantiles, stored counts).
+) -> tuple[DataFrame, Running]:
+    """Continuous quantiles from a (group, value, _c) frame; returns (quantiles, the running-total run).
 
     Quantiles are (group..., p, n, q) with linear interpolation between the
     values at ranks floor(p(n-1)) and ceil(p(n-1)), like ``percentile`` and
@@ -104,7 +107,7 @@ def quantiles_from_counts(
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
     # rows whose rank interval [cum - c, cum) holds a wanted rank: at most 2 * len(probs) per group
     covering = (
-        join_small(run.rows, ranks, groups)
+        join_bounded(run.rows, ranks, groups, bounded=run.bounded)
         .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
         .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
         .persist()
@@ -126,7 +129,7 @@ def quantiles_from_counts(
         F.max(F.when(F.col("_hi") == 1, F.col("_v"))).alias("_vhi"),
     )
     q = F.col("_vlo") + (F.col("pos") - F.col("lo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
-    return pair.select(*groups, "p", "n", q.alias("q")), run.stored
+    return pair.select(*groups, "p", "n", q.alias("q")), run
 
 
 def exact_quantiles(
@@ -142,7 +145,8 @@ def exact_quantiles(
     running sum, then a filter that keeps at most two rows per (group, p).
     No group is ever gathered into a single task.
     """
-    return quantiles_from_counts(value_counts(df, group_cols, value_col), group_cols, value_col, probs, slices)[0]
+    counts = value_counts(df, group_cols, value_col)
+    return quantiles_from_counts(counts, group_cols, value_col, probs, slices)[0]
 
 
 __all__ = ["Running", "exact_quantiles", "quantiles_from_counts", "running_totals", "value_counts"]

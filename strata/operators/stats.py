@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import as_double, rnd
 from strata.operators.profile import feature_long
 from strata.operators.ranking import quantiles_from_counts, value_counts
-from strata.plans.physical import join_small
+from strata.plans.physical import join_bounded, join_small
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
@@ -141,7 +141,8 @@ def box_stats(
     long = feature_long(df, cols, by)
     if method == "exact":
         # (feature, class, value, count): far smaller than the rows when values repeat
-        q, counts = quantiles_from_counts(value_counts(long, keys, "value"), keys, "value", [0.25, 0.5, 0.75])
+        q, run = quantiles_from_counts(value_counts(long, keys, "value"), keys, "value", [0.25, 0.5, 0.75])
+        counts, bounded = run.stored, run.bounded
         quart = q.groupBy(*keys).agg(
             F.first("n").alias("n"),
             F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
@@ -150,7 +151,7 @@ def box_stats(
         )
     elif method == "approx":
         pa = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        counts = long.withColumn("_c", F.lit(1))
+        counts, bounded = long.withColumn("_c", F.lit(1)), None
         quart = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), pa.alias("_q")).select(
             *keys, "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3")
         )
@@ -169,7 +170,10 @@ def box_stats(
     ).persist()  # one row per (feature, class); used by the tail pass and the result
     v, c = F.col("value"), F.col("_c")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    tails = join_small(counts, fences.select(*keys, "lo_fence", "hi_fence"), keys).groupBy(*keys).agg(
+    edges = fences.select(*keys, "lo_fence", "hi_fence")
+    # one fence row per group: bounded by the running-total check when exact, counted otherwise
+    joined = join_small(counts, edges, keys) if bounded is None else join_bounded(counts, edges, keys, bounded=bounded)
+    tails = joined.groupBy(*keys).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
         F.coalesce(F.sum(F.when(v < F.col("lo_fence"), c)), F.lit(0)).cast("bigint").alias("n_low"),

@@ -401,6 +401,39 @@ def q_box_outliers(spark, sf):
     return S.outlier_rows(readings(spark, sf), FEATURES, [LABEL]).select(LABEL, "feature", "value")
 
 
+_EV_BOX_CTE = (
+    "WITH lg AS (SELECT 'value' AS feature, event_type, CAST(value AS DOUBLE) AS value FROM events WHERE value IS NOT NULL),\n"
+    "q AS (SELECT feature, event_type, COUNT(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
+    "quantile_cont(value, 0.75) AS q3 FROM lg GROUP BY feature, event_type),\n"
+    "f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM q)"
+)
+
+
+@query(
+    "box_stats_events",
+    f"{_EV_BOX_CTE},\n"
+    "t AS (SELECT lg.feature, lg.event_type, MIN(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_lo, "
+    "MAX(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_hi, "
+    "COUNT(*) FILTER (WHERE value < lo_fence) AS n_low, COUNT(*) FILTER (WHERE value > hi_fence) AS n_high "
+    "FROM lg JOIN f ON lg.feature = f.feature AND lg.event_type = f.event_type GROUP BY 1, 2)\n"
+    "SELECT f.feature, f.event_type, f.n, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3, "
+    "round(iqr, 6) + 0.0 AS iqr, round(lo_fence, 6) + 0.0 AS lo_fence, round(hi_fence, 6) + 0.0 AS hi_fence, "
+    "round(whisker_lo, 6) + 0.0 AS whisker_lo, round(whisker_hi, 6) + 0.0 AS whisker_hi, n_low, n_high, n_low + n_high AS n_outliers "
+    "FROM f JOIN t ON f.feature = t.feature AND f.event_type = t.event_type",
+)
+def q_box_stats_events(spark, sf):
+    return S.box_stats(table(spark, sf, "events"), ["value"], ["event_type"])
+
+
+@query(
+    "box_outliers_events",
+    f"{_EV_BOX_CTE}\nSELECT lg.event_type, lg.feature, lg.value FROM lg JOIN f ON lg.feature = f.feature AND lg.event_type = f.event_type "
+    "WHERE lg.value < f.lo_fence OR lg.value > f.hi_fence",
+)
+def q_box_outliers_events(spark, sf):
+    return S.outlier_rows(table(spark, sf, "events"), ["value"], ["event_type"]).select("event_type", "feature", "value")
+
+
 # ---------------------------------------------------------------- features and split
 _SPLIT_SQL = (
     "CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 1, 8)) AS BIGINT) % 100 < 80 "

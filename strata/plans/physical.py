@@ -35,6 +35,15 @@ def join_small(
     return big.join(side, on=on, how=how)
 
 
+def join_bounded(
+    big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner", bounded: bool = False
+) -> DataFrame:
+    """Join with a side whose row bound was already checked (``bounded``): broadcast it, else shuffle-join."""
+    from pyspark.sql import functions as F
+
+    return big.join(F.broadcast(small) if bounded else small, on=on, how=how)
+
+
 def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
     """Round-robin repartition only when ``df`` has fewer partitions than the cluster can run.
 
