@@ -67,9 +67,22 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
-def dedup(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Whole-row distinct (or distinct on ``cols``, keeping any one row)."""
-    return df.dropDuplicates(list(cols)) if cols is not None else df.dropDuplicates()
+def dedup(df: DataFrame, cols: Sequence[str] | None = None, keep_min: Sequence[str] = ()) -> DataFrame:
+    """Whole-row distinct, or distinct on ``cols``.
+
+    With ``keep_min`` the surviving row of each duplicate group is the one
+    with the smallest (keep_min...) tuple — repeatable, unlike
+    ``dropDuplicates(cols)``, which keeps whichever row it meets first.  Same
+    single shuffle on ``cols`` with map-side combine.
+    """
+    if cols is None:
+        return df.dropDuplicates()
+    if not keep_min:
+        return df.dropDuplicates(list(cols))
+    others = [c for c in df.columns if c not in set(cols)]
+    first = F.min(F.struct(*keep_min, *[c for c in others if c not in set(keep_min)])).alias("_first")
+    picked = df.groupBy(*cols).agg(first)
+    return picked.select(*[F.col(c) if c in set(cols) else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 def assert_complete(df: DataFrame, cols: Sequence[str] | None = None) -> int:

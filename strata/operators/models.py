@@ -104,7 +104,7 @@ def fit_all(
     if workers == 1:
         return dict(fit(item) for item in pipelines.items())
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return dict(pool.map(inheritable_thread_target(fit), list(pipelines.items())))
+        return dict(pool.map(inheritable_thread_target(train.sparkSession)(fit), list(pipelines.items())))
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str, keys: Sequence[str], label: str) -> DataFrame:

@@ -952,6 +952,16 @@ def q_regression_models(spark, sf):
     return regression_baselines(FE.hash_split(j, KEYS), ["l_quantity", "l_discount", "p_retailprice", "p_size"], "l_extendedprice", KEYS)
 
 
+@query("medallion_run")
+def q_medallion_run(spark, sf):
+    """Write bronze, silver and gold for the readings view; return the gold KPI table as stored."""
+    from strata.plans.medallion import run_medallion
+
+    root = _scratch(spark, "medallion")
+    run_medallion(readings(spark, sf), root, "readings", LABEL, FEATURES, IMPUTED, KEYS)
+    return LY.read_layer(spark, root, "gold", "metrics")
+
+
 @query("stream_model_scoring")
 def q_stream_model_scoring(spark, sf):
     """A decision-tree pipeline fitted on the training rows scores lineitem as a file stream."""

@@ -69,10 +69,17 @@ def bronze_report(df: DataFrame, label: str, classes: Sequence[int] = (0, 1), la
     return out
 
 
-def silver_tables(raw: DataFrame, impute_cols: Sequence[str]) -> tuple[DataFrame, dict[str, float | None]]:
-    """(clean, means): mean-imputed then whole-row de-duplicated; means from one job."""
+def silver_tables(
+    raw: DataFrame, impute_cols: Sequence[str], content_cols: Sequence[str] | None = None, keys: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, float | None]]:
+    """(clean, means): mean-imputed then de-duplicated; means from one job.
+
+    Duplicates are whole rows, or rows equal on ``content_cols`` (keeping the
+    smallest ``keys``) when the table carries row keys.
+    """
     means = fit_means(raw, impute_cols)
-    return dedup(impute(raw, impute_cols, means=means)), means
+    filled = impute(raw, impute_cols, means=means)
+    return (dedup(filled, content_cols, keep_min=keys) if content_cols else dedup(filled)), means
 
 
 def silver_report(

@@ -96,3 +96,10 @@ def test_missing_violations_name_the_columns(spark):
 
     out = missing_violations(small(spark), ["a", "b"]).collect()
     assert sorted(tuple(r["missing_in"]) for r in out) == [("a",), ("a", "b")]
+
+
+def test_dedup_on_content_keeps_smallest_key(spark):
+    df = spark.createDataFrame([(3, 1.0, 0), (1, 1.0, 0), (2, 2.0, 1)], "k int, x double, y int")
+    out = sorted(tuple(r) for r in dedup(df, ["x", "y"], keep_min=["k"]).collect())
+    assert out == [(1, 1.0, 0), (2, 2.0, 1)]
+    assert dedup(df, ["x", "y"], keep_min=["k"]).columns == ["k", "x", "y"]
