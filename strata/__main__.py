@@ -1,4 +1,4 @@
-"""Run the layered pipeline as a batch job (``spark-submit -m strata`` or ``python -m strata``).
+"""Run the layered pipeline as a batch job (``spark-submit --py-files strata.zip strata/__main__.py`` or ``python -m strata``).
 
     python -m strata --input data.csv --format csv --infer --label y \
         --features a,b,c --impute a,b --keys id --root hdfs:///warehouse/run1 --table readings
