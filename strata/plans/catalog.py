@@ -661,7 +661,7 @@ def q_predictions_sample(spark, sf):
     f"{W}, c AS ("
     + _u(f"SELECT '{c}' AS feature, abs(corr({c}::DOUBLE, y::DOUBLE)) AS a FROM r" for c in FEATURES)
     + "),\nn AS (SELECT feature, a / SUM(a) OVER () AS importance FROM c)\n"
-    "SELECT feature, round(importance, 6) + 0.0 AS importance, ROW_NUMBER() OVER (ORDER BY importance DESC, feature) AS rank FROM n",
+    "SELECT feature, round(importance, 6) + 0.0 AS importance, CAST(ROW_NUMBER() OVER (ORDER BY importance DESC, feature) AS INTEGER) AS rank FROM n",
 )
 def q_importance_rank(spark, sf):
     """Rank features by a filter-style importance: |corr(feature, label)| normalised to sum 1."""
