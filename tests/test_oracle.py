@@ -30,9 +30,16 @@ def canon(cols, rows):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_equals_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF001)
+    rel = con.sql(entry_mod.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck_types
     cur = con.execute(entry_mod.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
