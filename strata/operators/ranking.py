@@ -18,12 +18,6 @@ from pyspark.sql import functions as F
 from strata.plans.physical import MAX_BROADCAST_ROWS, join_bounded, materialize
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return int(slices)
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-
-
 class Running:
     """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input (with ``_slice``)."""
 
@@ -49,16 +43,20 @@ def running_totals(
     totals and the local sums always agree, also after executor loss.
     """
     groups = list(group_cols)
-    # the range bounds are sampled from the input: cache it so it is computed once
-    source = df.persist()
-    ranged = source.repartitionByRange(_slices(df, slices), *groups, order_col).withColumn(
+    # the range bounds are sampled from ``df``; an aggregated input is re-read from
+    # its shuffle files for that, not recomputed (and not cached, so AQE can coalesce)
+    source = df
+    # without an explicit count, AQE may merge adjacent small ranges (slices stay contiguous)
+    keys = [*groups, order_col]
+    ranged = (source.repartitionByRange(int(slices), *keys) if slices else source.repartitionByRange(*keys)).withColumn(
         "_slice", F.spark_partition_id()
     )
     stored = materialize(ranged, "ranked")
-    source.unpersist()
     totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols]).persist()
     # (slice, group) pairs: at most slices + groups - 1, counted once
     bounded = totals.count() <= MAX_BROADCAST_ROWS
+    if bounded:
+        totals = totals.coalesce(1)  # proven small: one task instead of one per shuffle partition
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_slice",
@@ -103,15 +101,16 @@ def quantiles_from_counts(
         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
     ).withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
     target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn("hi", F.ceil("pos").cast("bigint"))
-    target = target.persist()  # groups x probs rows, used three times below
+    # groups x probs rows, used three times below
+    target = (target.coalesce(1) if run.bounded else target).persist()
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
     # rows whose rank interval [cum - c, cum) holds a wanted rank: at most 2 * len(probs) per group
     covering = (
         join_bounded(run.rows, ranks, groups, bounded=run.bounded)
         .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
         .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
-        .persist()
     )
+    covering = (covering.coalesce(1) if run.bounded else covering).persist()
     wanted = target.select(
         *groups, "p", "n", "pos", "lo",
         F.inline(F.array(F.struct(F.lit(0).alias("_hi"), F.col("lo").alias("_rank")), F.struct(F.lit(1).alias("_hi"), F.col("hi").alias("_rank")))),

@@ -167,7 +167,9 @@ def box_stats(
         iqr.alias("iqr"),
         (F.col("q1") - F.lit(whisker) * iqr).alias("lo_fence"),
         (F.col("q3") + F.lit(whisker) * iqr).alias("hi_fence"),
-    ).persist()  # one row per (feature, class); used by the tail pass and the result
+    )
+    # one row per (feature, class); used by the tail pass and the result
+    fences = (fences.coalesce(1) if bounded else fences).persist()
     v, c = F.col("value"), F.col("_c")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     edges = fences.select(*keys, "lo_fence", "hi_fence")

@@ -31,7 +31,8 @@ def join_small(
 
     small = small.persist()
     n = small.count()
-    side = F.broadcast(small) if n <= max_rows else small
+    # a proven-small side is read by one task, not one per shuffle partition
+    side = F.broadcast(small.coalesce(1)) if n <= max_rows else small
     return big.join(side, on=on, how=how)
 
 
