@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import safe_ratio, rnd
 from strata.operators.ranking import running_totals
+from strata.plans.physical import join_small
 
 METRICS = ["accuracy", "f1", "weighted_precision", "weighted_recall"]
 
@@ -153,7 +154,7 @@ def targets_frame(spark, targets: Mapping[str, float] | None = None) -> DataFram
 
 def target_check(long_metrics: DataFrame, targets: DataFrame) -> DataFrame:
     """Join (…, metric, value) with (metric, target); ``target_met`` = value ≥ target."""
-    out = long_metrics.join(F.broadcast(targets), "metric", "inner")
+    out = join_small(long_metrics, targets, "metric", "inner")
     return out.withColumn("target_met", F.col("value") >= F.col("target")).withColumn(
         "status", F.when(F.col("target_met"), F.lit("met")).otherwise(F.format_string(">= %.2f", F.col("target")))
     )

@@ -120,7 +120,8 @@ def quantiles_from_counts(
         F.col("c._from") <= F.col("t._rank"),
         F.col("t._rank") < F.col("c._to"),
     ]
-    matched = wanted.join(F.broadcast(c), cond, "left").select(
+    # covering holds <= 2 * len(probs) rows per group: broadcast only under the checked bound
+    matched = wanted.join(F.broadcast(c) if run.bounded else c, cond, "left").select(
         *[F.col(f"t.{g}").alias(g) for g in groups], "t.p", "t.n", "t.pos", "t.lo", "t._hi", F.col(f"c.{value_col}").cast("double").alias("_v")
     )
     pair = matched.groupBy(*groups, "p", "n", "pos", "lo").agg(
