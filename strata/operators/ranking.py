@@ -43,14 +43,12 @@ def running_totals(
     totals and the local sums always agree, also after executor loss.
     """
     groups = list(group_cols)
-    # the range bounds are sampled from ``df``; an aggregated input is re-read from
-    # its shuffle files for that, not recomputed (and not cached, so AQE can coalesce)
-    source = df
-    # without an explicit count, AQE may merge adjacent small ranges (slices stay contiguous)
+    # Range bounds are sampled from ``df``; an aggregated input is re-read from its
+    # shuffle files for that, not recomputed.  Without an explicit slice count AQE
+    # may merge adjacent small ranges; slices stay contiguous either way.
     keys = [*groups, order_col]
-    ranged = (source.repartitionByRange(int(slices), *keys) if slices else source.repartitionByRange(*keys)).withColumn(
-        "_slice", F.spark_partition_id()
-    )
+    ranged = df.repartitionByRange(int(slices), *keys) if slices else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn("_slice", F.spark_partition_id())
     stored = materialize(ranged, "ranked")
     totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols]).persist()
     # (slice, group) pairs: at most slices + groups - 1, counted once
