@@ -36,7 +36,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Taken from the SparkContext or ``spark.checkpoint.dir``.  Only when
-    neither is set (a local run or a test) a private folder is created.
+    neither is set and the master is local (a local run or a test) a private
+    folder is created; on a cluster a machine-local folder would not be shared
+    by the executors, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
