@@ -71,15 +71,17 @@ def model_predictions(
     params: Mapping | None = None,
 ) -> DataFrame:
     """Fit one pipeline on the train rows, return its long predictions on the test rows."""
-    train, test = _split(df)
+    base, train, test = _split_base(df)
     pipe = build_pipeline(kind, features, label, impute=impute, **(params or QUERY_PARAMS[kind]))
     model = pipe.fit(train)
+    base.unpersist()  # the returned predictions are a narrow map; they re-read the input if needed
     return predictions_long({MODEL_NAMES[kind]: model}, test, keys, label)
 
 
 def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str) -> DataFrame:
-    train, _ = _split(df)
+    base, train, _ = _split_base(df)
     model = build_pipeline(kind, features, label, impute=impute, **QUERY_PARAMS[kind]).fit(train)
+    base.unpersist()
     return importances(model, features, MODEL_NAMES[kind])
 
 

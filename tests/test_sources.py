@@ -35,3 +35,12 @@ def test_layer_roundtrip(spark):
 
     with pytest.raises(ValueError):
         LY.layer_path(root, "platinum", "t")
+
+
+def test_orc_and_json_roundtrip(spark):
+    root = tempfile.mkdtemp(prefix="strata-fmt-")
+    df = spark.createDataFrame([(1, 2.5, "a"), (2, None, "b")], "k int, v double, s string")
+    for fmt in ("orc", "json"):
+        path = IO.write_table(df, f"{root}/{fmt}", fmt=fmt)
+        back = IO.read_table(spark, path, fmt=fmt, schema=df.schema)
+        assert sorted(back.collect()) == sorted(df.collect())
