@@ -60,3 +60,25 @@ def test_model_comparison_marks_argmax(spark):
     assert len(out) == 2 and sum(r["is_best"] for r in out) == 1
     best = max(out, key=lambda r: (r["accuracy"], [-ord(ch) for ch in r["model"]]))
     assert best["is_best"] and all(r["auc"] is not None for r in out)
+
+
+def test_reference_forest_settings_and_class_weights(spark, split):
+    from strata.operators.models import class_weights
+
+    train, test = split
+    params = {"numTrees": 5, "maxDepth": 4, "seed": 42, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
+    m = build_pipeline("rf", FEATURES, LABEL, impute=IMPUTED, **params).fit(train)
+    rf = m.stages[-1]
+    assert rf.getMinInstancesPerNode() == 2 and rf.getFeatureSubsetStrategy() == "sqrt" and rf.getNumTrees == 5
+    weighted = class_weights(train, LABEL)
+    mw = build_pipeline("lr", FEATURES, LABEL, impute=IMPUTED, weight_col="weight", maxIter=20).fit(weighted)
+    r = E.classification_metrics(predictions_long({"w": mw}, test, KEYS, LABEL), "label", "prediction").first()
+    assert r["accuracy"] > 0.7
+
+
+def test_hash_folds_cover_all_rows(spark):
+    from strata.operators.features import fold_column
+
+    df = readings(spark, SF001).select(fold_column(KEYS, 5))
+    counts = {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
+    assert set(counts) == {0, 1, 2, 3, 4} and sum(counts.values()) == 60000
