@@ -75,3 +75,18 @@ def test_constant_column_box_iqr_zero(spark):
     df = spark.createDataFrame([(2.0,)] * 4, "x double")
     b = S.box_stats(df, ["x"]).first()
     assert b["iqr"] == 0.0 and b["n_outliers"] == 0 and b["whisker_lo"] == 2.0
+
+
+def test_empty_table_statistics_and_metrics(spark):
+    from strata.operators import evaluate as E
+    from strata.plans.reports import bronze_report
+
+    empty = spark.createDataFrame([], "x double, y int, score double, prediction int")
+    assert S.histogram(empty, ["x"], ["y"]).count() == 0
+    assert S.box_stats(empty, ["x"], ["y"]).count() == 0
+    auc = E.auc_roc(empty, "y", "score").collect()
+    assert len(auc) == 1 and auc[0]["auc"] is None
+    m = E.classification_metrics(empty, "y", "prediction").collect()
+    assert len(m) == 1 and m[0]["accuracy"] is None
+    kpi = {(r["section"], r["key"]): r["value"] for r in bronze_report(empty.select("x", "y"), "y").collect()}
+    assert kpi[("table", "total_rows")] == 0.0 and kpi[("table", "duplicates")] == 0.0
