@@ -19,3 +19,20 @@ def test_medallion_writes_all_layers(spark):
     assert read_layer(spark, root, "gold", "predictions_sample").count() == 50
     stats = {(r["section"], r["key"]): r["value"] for r in read_layer(spark, root, "silver", "readings_stats").collect()}
     assert stats[("table", "total_rows")] == silver.count()
+
+
+def test_command_line_run(spark, capsys):
+    import json
+
+    from strata.__main__ import main
+
+    d = tempfile.mkdtemp(prefix="strata-cli-")
+    readings(spark, SF0001).coalesce(1).write.option("header", True).csv(f"{d}/in")
+    main([
+        "--input", f"{d}/in", "--format", "csv", "--infer", "--label", LABEL,
+        "--features", ",".join(FEATURES), "--impute", "qty,price,tax", "--keys", ",".join(KEYS),
+        "--models", "dt", "--root", f"{d}/out",
+    ])
+    out = json.loads(capsys.readouterr().out)
+    assert out["silver"].endswith("/silver/readings")
+    assert read_layer(spark, f"{d}/out", "gold", "model_comparison").count() == 1
