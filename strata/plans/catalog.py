@@ -678,6 +678,33 @@ def q_importance_rank(spark, sf):
     return ranked.select("feature", rnd(F.col("importance"), 6).alias("importance"), F.col("rank"))
 
 
+_RULES_SEG = "WITH p AS (" + RULES_SQL.replace("l_partkey, l_suppkey,", "l_partkey, l_suppkey, l_returnflag,") + ")"
+
+
+@query(
+    "segment_metrics",
+    f"{_RULES_SEG}, conf AS (SELECT model, l_returnflag, y AS label, prediction, COUNT(*) AS c FROM p GROUP BY 1, 2, 3, 4),\n"
+    "lab AS (SELECT model, l_returnflag, label AS class, SUM(c) AS support, SUM(CASE WHEN label = prediction THEN c ELSE 0 END) AS tp FROM conf GROUP BY 1, 2, 3),\n"
+    "prd AS (SELECT model, l_returnflag, prediction AS class, SUM(c) AS n_predicted FROM conf GROUP BY 1, 2, 3),\n"
+    "pc0 AS (SELECT lab.*, COALESCE(prd.n_predicted, 0) AS n_predicted FROM lab LEFT JOIN prd "
+    "ON lab.model = prd.model AND lab.l_returnflag = prd.l_returnflag AND lab.class = prd.class),\n"
+    "pc1 AS (SELECT *, CASE WHEN n_predicted = 0 THEN 0.0 ELSE tp::DOUBLE / n_predicted END AS precision, tp::DOUBLE / support AS recall FROM pc0),\n"
+    "pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pc1),\n"
+    "met AS (SELECT model, l_returnflag, round(SUM(tp)::DOUBLE / SUM(support), 6) + 0.0 AS accuracy, "
+    "round(SUM(f1 * support) / SUM(support), 6) + 0.0 AS f1, round(SUM(precision * support) / SUM(support), 6) + 0.0 AS weighted_precision, "
+    "round(SUM(recall * support) / SUM(support), 6) + 0.0 AS weighted_recall, CAST(SUM(support) AS BIGINT) AS n FROM pc GROUP BY 1, 2),\n"
+    "g AS (SELECT model, l_returnflag, score, COUNT(*) FILTER (WHERE y = 1) AS pos, COUNT(*) FILTER (WHERE y <> 1) AS neg FROM p GROUP BY 1, 2, 3),\n"
+    "cu AS (SELECT *, SUM(neg) OVER (PARTITION BY model, l_returnflag ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM g),\n"
+    "au AS (SELECT model, l_returnflag, CASE WHEN SUM(pos) = 0 OR SUM(neg) = 0 THEN NULL ELSE "
+    "round(SUM(pos * ((cum_neg - neg) + neg / 2.0)) / (SUM(pos)::DOUBLE * SUM(neg)::DOUBLE), 6) + 0.0 END AS auc FROM cu GROUP BY 1, 2)\n"
+    "SELECT met.*, au.auc FROM met LEFT JOIN au ON met.model = au.model AND met.l_returnflag = au.l_returnflag",
+)
+def q_segment_metrics(spark, sf):
+    """Every metric per (model, segment): the same grouped passes with one more key."""
+    p = rule_predictions(spark, sf, extra=("l_returnflag",))
+    return E.evaluate(p, "y", "prediction", "score", by=["model", "l_returnflag"])
+
+
 # ---------------------------------------------------------------- layers and reports
 def _kpi_sql(layer: str, section: str, pairs, src: str) -> str:
     return _u(f"SELECT '{layer}' AS layer, '{section}' AS section, '{k}' AS key, CAST({e} AS DOUBLE) AS value FROM {src}" for k, e in pairs)

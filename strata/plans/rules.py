@@ -31,7 +31,8 @@ FROM lineitem
 """
 
 
-def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_predictions(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(model, keys..., [extra lineitem columns...], y, score, prediction), three rows per lineitem row."""
     li = table(spark, sf_dir, "lineitem")
     q, d = F.col("l_quantity"), F.col("l_discount")
     y = F.when(q * d > F.lit(1.2).cast("double"), 1).otherwise(0).cast("int")
@@ -44,4 +45,4 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule("by_disc", d * F.lit(10.0).cast("double"), F.when(d > F.lit(0.05).cast("double"), 1).otherwise(0)),
         rule("never", F.lit(0.0), F.lit(0)),
     )
-    return li.select(*KEYS, y.alias("y"), F.inline(rules)).select("model", *KEYS, "y", "score", "prediction")
+    return li.select(*KEYS, *extra, y.alias("y"), F.inline(rules)).select("model", *KEYS, *extra, "y", "score", "prediction")
