@@ -181,7 +181,10 @@ def box_stats(
         F.coalesce(F.sum(F.when(v < F.col("lo_fence"), c)), F.lit(0)).cast("bigint").alias("n_low"),
         F.coalesce(F.sum(F.when(v > F.col("hi_fence"), c)), F.lit(0)).cast("bigint").alias("n_high"),
     )
-    out = fences.join(tails, keys, "inner").withColumn("n_outliers", F.col("n_low") + F.col("n_high"))
+    # both sides hold one row per (feature, class)
+    out = (join_small(tails, fences, keys) if bounded is None else join_bounded(tails, fences, keys, bounded=bounded)).withColumn(
+        "n_outliers", F.col("n_low") + F.col("n_high")
+    )
     dbl = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi"]
     if digits is not None:
         for c in dbl:
