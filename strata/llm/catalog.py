@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, common, packing, pieces, quality, sharding, url_rules, warc
+from strata.llm import chat, common, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(common.table(sf_dir, "embeddings", spark), every=20, k=20)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.archive_round_trip(common.table(sf_dir, "pages", spark))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,6 +49,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = substrings.strip_repeats(common.pick(common.table(sf_dir, "documents", spark), "doc_id", "text"))
+    kept = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    return stripped.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
@@ -63,7 +73,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat)}
 
 _URL_SQL = """
 WITH parts AS (
@@ -108,4 +118,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL}
+_SUBSTRING_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS pos FROM w WHERE len(words) >= 50
+), k AS (
+  SELECT doc_id, pos, md5(array_to_string(words[pos : pos + 49], ' ')) AS key FROM s
+), f AS (
+  SELECT doc_id, pos FROM (SELECT *, min(doc_id) OVER (PARTITION BY key) AS first FROM k) WHERE doc_id > first
+), gone AS (
+  SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(pos, pos + 50)) AS i FROM f) GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+    CASE WHEN gone IS NULL THEN words ELSE list_transform(list_filter(range(1, len(words) + 1), i -> NOT list_contains(gone, i)), i -> words[i]) END AS left_over
+  FROM w LEFT JOIN gone USING (doc_id)
+)
+SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256 FROM kept
+"""
+
+ORACLE = {"op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL}

@@ -1,10 +1,11 @@
 """Quality rules: base counts of a text, and tokeniser fertility against bands per language or script.
 
 A public vocabulary that was made for ordinary prose spends few tokens on a
-clean text and many on junk.  Three measures over the words' pieces say so:
+clean text and many on junk.  Measures over the words' pieces say so:
 characters per token, the share of byte-fallback tokens (characters that the
-vocabulary does not know), and the entropy of the token distribution as a
-share of the most that so many tokens could have.
+vocabulary does not know), the share of bare tokens (no letter or digit in
+them), and the entropy of the token distribution as a share of the most that
+so many tokens could have.
 """
 
 from __future__ import annotations
@@ -24,42 +25,44 @@ MODEL = "piece_bpe_32k.model"
 
 
 class Band(NamedTuple):
-    """What a kept text may measure; the entropy floor holds from ``entropy_from`` tokens on."""
+    """What a kept text may measure; the entropy and bare-token limits hold from ``shares_from`` tokens on."""
 
     least_chars: float
     most_chars: float
     most_bytes: float
     least_entropy: float
-    entropy_from: int = 64
+    most_bare: float
+    shares_from: int = 64
 
 
 #: By language; then by script for a language without a band.  Wide on
 #: purpose: each limit lies far outside what ordinary prose of that language
 #: measures with a 32,000-piece vocabulary.
 BANDS = {
-    "en": Band(1.8, 8.0, 0.02, 0.45),
-    "de": Band(1.5, 8.0, 0.02, 0.45),
-    "fr": Band(1.5, 8.0, 0.02, 0.45),
-    "es": Band(1.5, 8.0, 0.02, 0.45),
-    "latin": Band(1.2, 9.0, 0.10, 0.40),
-    "other": Band(0.25, 9.0, 0.98, 0.30),
+    "en": Band(1.2, 8.0, 0.02, 0.40, 0.20),
+    "de": Band(1.2, 8.0, 0.02, 0.40, 0.20),
+    "fr": Band(1.2, 8.0, 0.02, 0.40, 0.20),
+    "es": Band(1.2, 8.0, 0.02, 0.40, 0.20),
+    "latin": Band(1.1, 9.0, 0.10, 0.40, 0.25),
+    "other": Band(0.25, 9.0, 0.98, 0.30, 0.98),
 }
 
 _BASE = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()), ("n_dup_lines", T.LongType()), ("n_repeat_words", T.LongType()), ("base_failed", T.BooleanType())]
-_FERTILITY = [("chars_per_token", T.DoubleType()), ("byte_share", T.DoubleType()), ("entropy_share", T.DoubleType()), ("band", T.StringType()), ("kept", T.BooleanType())]
+_FERTILITY = [("chars_per_token", T.DoubleType()), ("byte_share", T.DoubleType()), ("bare_share", T.DoubleType()), ("entropy_share", T.DoubleType()), ("band", T.StringType()), ("kept", T.BooleanType())]
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 _BLANK = " \t\n\x0b\x0c\r"
-_CACHES: dict[str, WordCache] = {}
+_CACHES: dict[str, tuple[WordCache, np.ndarray]] = {}
 
 
-def _pieces(model: str) -> WordCache:
-    """Distinct words to their piece ids (16-bit), one cache a worker."""
+def _pieces(model: str) -> tuple[WordCache, np.ndarray]:
+    """Distinct words to their piece ids (16-bit), and the kind of each piece (1: byte fallback, 2: bare); one a worker."""
     if model not in _CACHES:
         import sentencepiece
 
-        processor = sentencepiece.SentencePieceProcessor(model_file=model)
-        _CACHES[model] = WordCache(lambda words: [np.asarray(x, "<u2").tobytes() for x in processor.encode(words, num_threads=1)])
+        p = sentencepiece.SentencePieceProcessor(model_file=model)
+        kind = np.array([1 if p.is_byte(i) else 2 * (not any(map(str.isalnum, p.id_to_piece(i)))) for i in range(p.get_piece_size())])
+        _CACHES[model] = WordCache(lambda words: [np.asarray(x, "<u2").tobytes() for x in p.encode(words, num_threads=1)]), kind
     return _CACHES[model]
 
 
@@ -91,14 +94,15 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return n, chars, symbols, len(lines) - len(set(lines)), repeated, n < 10 or 100 * repeated > 20 * n
 
 
-def fertility(ids: np.ndarray, chars: int) -> tuple[float, float, float]:
-    """Characters a token, byte-fallback share and entropy share of the words' pieces."""
+def fertility(ids: np.ndarray, chars: int, kind: np.ndarray) -> tuple[float, float, float, float]:
+    """Characters a token, byte-fallback share, bare share and entropy share of the words' pieces."""
     if not len(ids):
-        return 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0.0
     count = np.bincount(ids)
     p = count[count > 0] / len(ids)
     entropy = float(-(p * np.log2(p)).sum()) / max(1.0, np.log2(len(ids)))
-    return chars / len(ids), float(((ids >= 3) & (ids < 259)).mean()), entropy
+    kinds = np.bincount(kind[ids], minlength=3) / len(ids)
+    return chars / len(ids), float(kinds[1]), float(kinds[2]), entropy
 
 
 def _script(text: str) -> str:
@@ -107,17 +111,18 @@ def _script(text: str) -> str:
 
 
 def _judge(texts: list, langs: list, model: str, bands: dict[str, Band]) -> list[tuple]:
-    cache, out = _pieces(model), []
+    (cache, kind), out = _pieces(model), []
     for low, high in slices(texts):
         part = [t or "" for t in texts[low:high]]
         pieces = cache.rows(pc.ascii_split_whitespace(pa.array(part, pa.string())))
         for text, raw, lang in zip(part, pieces, langs[low:high]):
             base, ids = base_counts(text), np.frombuffer(raw, "<u2")
-            chars, bytes_, entropy = fertility(ids, base[1])
+            chars, bytes_, bare, entropy = fertility(ids, base[1], kind)
             name = lang if lang in bands else _script(text or " ")
             band = bands[name]
-            fits = band.least_chars <= chars <= band.most_chars and bytes_ <= band.most_bytes and (len(ids) < band.entropy_from or entropy >= band.least_entropy)
-            out.append((*base, chars, bytes_, entropy, name, fits and not base[-1]))
+            fits = band.least_chars <= chars <= band.most_chars and bytes_ <= band.most_bytes
+            fits = fits and (len(ids) < band.shares_from or entropy >= band.least_entropy and bare <= band.most_bare)
+            out.append((*base, chars, bytes_, bare, entropy, name, fits and not base[-1]))
     return out
 
 
