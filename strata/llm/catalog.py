@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, common, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
+from strata.llm import chat, common, jaccard, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(common.table(sf_dir, "documents", spark))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(common.table(sf_dir, "embeddings", spark), every=20, k=20)
 
@@ -73,7 +77,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat)}
 
 _URL_SQL = """
 WITH parts AS (
@@ -131,10 +135,29 @@ WITH w AS (
   SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(pos, pos + 50)) AS i FROM f) GROUP BY doc_id
 ), kept AS (
   SELECT w.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
-    CASE WHEN gone IS NULL THEN words ELSE list_transform(list_filter(range(1, len(words) + 1), i -> NOT list_contains(gone, i)), i -> words[i]) END AS left_over
+    CASE WHEN gone IS NULL THEN words ELSE [words[i] for i in range(1, len(words) + 1) if NOT list_contains(gone, i)] END AS left_over
   FROM w LEFT JOIN gone USING (doc_id)
 )
 SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256 FROM kept
 """
 
-ORACLE = {"op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL}
+_JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[pos : pos + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM w WHERE len(words) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * ((SELECT n FROM n WHERE n.doc_id = a.doc_id) + (SELECT n FROM n WHERE n.doc_id = b.doc_id) - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
+ORACLE = {"op2_jaccard": _JACCARD_SQL, "op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL}
