@@ -8,10 +8,13 @@ and a pair whose differences are fewer than the units must agree on an indexed
 part of some segment.  The allotment is the cheapest by an estimate of rows
 and chance agreements.
 
-Parts that very many sets share (and empty ones, which are not indexed) would
-pair everything with everything.  A set may pass over such parts as long as
-the units it gives up leave more than the differences allowed; the few sets
-that cannot afford it keep them, and meet there only each other.
+The units beyond a set's own most differences are its to give up: empty parts
+are never indexed, and of the others each set gives up those that the most sets
+share, down to what it can afford.  A linked pair still meets: the one that
+stops at the rarer parts has an agreed part among those it keeps, and the other
+keeps all parts as rare as that.  So a set whose shared parts are all
+affordable has no partner, and passages that very many documents hold cost
+nothing.
 
 Buckets are not expanded into pairs.  Round by round each set is compared with
 one other of its buckets that is not yet in its component, most shared buckets
@@ -27,7 +30,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import hashing
@@ -36,7 +39,7 @@ from strata.llm.common import Store, map_batches, pick
 PERCENT = 80
 SHINGLE = 5
 GROWTH = 1.6  # a band's largest size over its smallest
-COMMON = 48  # sets in a bucket beyond which it counts as common
+MOST = 100_000  # sets of a bucket held at once; larger ones all count as this large
 ROUNDS = 12
 
 _U = np.uint64
@@ -91,7 +94,7 @@ def entries(shingles: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.n
         below = band_edges(low - 1, percent)
         at.append((1, *below))
     for instance, k, lo, hi in at:
-        m, double, differ = allot(lo, hi, percent)
+        m, double, _ = allot(lo, hi, percent)
         segment = (hashing.mix(shingles, 11) % _U(m)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         token, segment = hashing.mix(shingles[order], 13), segment[order]
@@ -110,7 +113,8 @@ def entries(shingles: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.n
             left = total[group[pick_]] - token[pick_]
             out.append(_tag(hashing.mix(left, 23) ^ named[group[pick_]], instance, np.ones(int(pick_.sum()), bool)))
             lost += int((two & (n == 1)).sum())
-        room = m + double - differ - 1 - lost
+        largest = size * 100 // percent if not instance else low - 1  # of the partners
+        room = m + double - (size + largest) * (100 - percent) // (100 + percent) - 1 - lost
         if room < 0:  # too many empty parts: index these too, for sets in the same case
             empty = np.setdiff1d(np.arange(m), used)
             bare = np.concatenate([empty, used[two & (n == 1)]])
@@ -172,65 +176,65 @@ def _index(docs: DataFrame, percent: int, size: int) -> DataFrame:
 
 
 def _shared(entry: DataFrame, parts: int | None) -> DataFrame:
-    """Of the sorted signatures, those of at least two nodes: (sig, node, room, at), ``at`` the row's place in its bucket; rows of documents pass through.
+    """Of the sorted signatures, those of at least two nodes: (sig, node, room, n), ``n`` the bucket's size; rows of documents pass through.
 
-    Streams in constant memory whatever a bucket's size."""
+    Streams, holding one bucket at a time and of that ``MOST`` rows at most."""
     dealt = F.coalesce("sig", F.xxhash64("doc", "node"))
     args = ([parts] if parts else []) + [dealt]
     ordered = entry.repartition(*args).sortWithinPartitions("sig", "node")
 
+    def rows(s, n, r, size):
+        k = len(s)
+        return pa.RecordBatch.from_arrays([pa.array(s), pa.array(n), pa.array(r), pa.array(size, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=_NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (sig, node, room, at) of the last distinct row, and whether it was sent
+        held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)  # the last bucket so far
+        huge = None  # a bucket that has sent rows already
         for b in batches:
-            sig = b["sig"]
-            docs_ = b.filter(sig.is_null())
+            docs_ = b.filter(b["sig"].is_null())
             if docs_.num_rows:
                 k = docs_.num_rows
                 yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), docs_["node"], pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), docs_["doc"], docs_["size"]], names=_NAMES)
-            b = b.filter(sig.is_valid())
+            b = b.filter(b["sig"].is_valid())
             if not b.num_rows:
                 continue
-            s, n, r = b["sig"].to_numpy(), b["node"].to_numpy(), b["room"].to_numpy()
-            if last is not None:
-                s, n, r = np.append(last[0], s), np.append(last[1], n), np.append(last[2], r)
+            s, n, r = (np.append(h, b[c].to_numpy()) for h, c in zip(held, ("sig", "node", "room")))
             new = np.ones(len(s), bool)
             new[1:] = (s[1:] != s[:-1]) | (n[1:] != n[:-1])
             s, n, r = s[new], n[new], r[new]
-            head = np.ones(len(s), bool)
-            head[1:] = s[1:] != s[:-1]
-            group = np.cumsum(head) - 1
-            start = np.flatnonzero(head)
-            at = np.arange(len(s)) - start[group]
-            sent = False
-            if last is not None:  # the first row goes on from the batch before
-                mine = group == 0
-                at[mine], sent = at[mine] + last[3], last[4]
-            many = np.bincount(group)[group] > 1
-            many |= at > 0
-            keep = many.copy()
-            keep[0] &= not sent
-            if keep.any():
-                k = int(keep.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(s[keep]), pa.array(n[keep]), pa.array(r[keep]), pa.array(at[keep].astype(np.int32)), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32())], names=_NAMES)
-            last = (s[-1], n[-1], r[-1], at[-1], bool(many[-1]))
+            if huge is not None:
+                more = s == huge
+                if more.any():
+                    yield rows(s[more], n[more], r[more], np.full(int(more.sum()), MOST))
+                    s, n, r = s[~more], n[~more], r[~more]
+                if not len(s):
+                    held = s, n, r
+                    continue
+                huge = None
+            start = np.flatnonzero(np.diff(s, prepend=s[0] - 1))
+            size = np.repeat(np.diff(start, append=len(s)), np.diff(start, append=len(s)))
+            done = (np.arange(len(s)) < start[-1]) & (size > 1)
+            if done.any():
+                yield rows(s[done], n[done], r[done], size[done])
+            held = s[start[-1] :], n[start[-1] :], r[start[-1] :]
+            if len(held[0]) >= MOST:
+                yield rows(*held, np.full(len(held[0]), MOST))
+                huge, held = held[0][0], tuple(x[:0] for x in held)
+        if len(held[0]) > 1:
+            yield rows(*held, np.full(len(held[0]), len(held[0])))
 
     return ordered.mapInArrow(run, _SHARED)
 
 
-_SHARED = "sig long, node long, room int, at int, doc long, size int"
+_SHARED = "sig long, node long, room int, n int, doc long, size int"
 _NAMES = [x.split()[0] for x in _SHARED.split(", ")]
 
 
-def _affordable(rows: DataFrame, store: Store, common: int) -> DataFrame:
-    """Bucket rows (sig, node) without the common ones that their set can do without."""
-    hot = store.put(rows.where(F.col("at") == common).select("sig"), "common")
-    crowd = store.put(rows.join(hot, "sig").withColumn("instance", F.col("sig").bitwiseAND(2)), "crowd")
-    units = F.sum(1 + F.col("sig").bitwiseAND(1))
-    poor = crowd.groupBy("node", "instance").agg(units.alias("units"), F.min("room").alias("room")).where("units > room")
-    kept = rows.join(hot, "sig", "left_anti").select("sig", "node").union(crowd.join(poor, ["node", "instance"], "left_semi").select("sig", "node"))
-    out = store.put(kept, "kept")
-    store.drop(hot), store.drop(crowd)
-    return out
+def _affordable(rows: DataFrame, store: Store) -> DataFrame:
+    """Bucket rows (sig, node) without those that their set can give up, the most shared first."""
+    own = Window.partitionBy("node", F.col("sig").bitwiseAND(2)).orderBy(F.desc("n")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    given = F.sum(1 + F.col("sig").bitwiseAND(1)).over(own)
+    return store.put(rows.withColumn("given", given).where("given > room").select("sig", "node"), "kept")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store, size: int) -> DataFrame:
@@ -313,7 +317,7 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, common: int = COMMON) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id, the least doc_id reachable by links.
 
     Two documents link when ``100 * |x & y| >= percent * |x | y|`` for their
@@ -326,9 +330,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     docs = pick(docs, doc="doc_id", text="text").withColumn("doc", F.col("doc").cast("long"))
     entry = _shared(_index(docs, percent, size), None)
     kinds = store.put(entry.withColumn("kind", F.when(F.col("sig").isNull(), "doc").otherwise("entry")), "index", ["kind"])
-    rows = kinds.where("kind = 'entry'").select("sig", "node", "room", "at")
+    rows = kinds.where("kind = 'entry'").select("sig", "node", "room", "n")
     members = kinds.where("kind = 'doc'").select("doc", "node", "size")
-    buckets = _affordable(rows, store, common)
+    buckets = _affordable(rows, store)
     root = _link(docs, buckets, members.where("doc is not null and node is not null"), store, percent, size)
     named = members.join(root, "node", "left").withColumn("class", F.when(F.col("doc").isNotNull(), F.coalesce("root", "node")))
     least = named.where("class is not null").groupBy("class").agg(F.min("doc").alias("least"))
