@@ -51,7 +51,6 @@ class Store:
     def put(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = self.path(name)
         df.write.partitionBy(*partition_by).parquet(path)
-        self.release()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:

@@ -28,7 +28,6 @@ from functools import lru_cache
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,7 +160,7 @@ def _index(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 docs_.append((doc, name, len(s)))
                 if name is None or name in seen or doc is None:
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(name)
                 for sigs, spare in entries(s, percent):
                     sig.append(sigs.view(np.int64)), node.append(np.full(len(sigs), name)), room.append(np.full(len(sigs), spare))
@@ -251,33 +250,15 @@ def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store,
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([x[1] for x in found], pa.binary())], names=["node", "set"])
 
-    likely = _bitmap(chosen.select("doc"))
-    read = docs.where(likely(F.col("doc"))).join(chosen, "doc").select("node", "text")
+    read = docs.join(chosen, "doc").select("node", "text")
     out = store.put(map_batches(read, run, "node long, set binary"), "sets")
+    store.release()
     store.drop(chosen)
     return out
 
 
-def _bitmap(ids: DataFrame, bits: int = 1 << 23):
-    """A test that all given ids pass and few others: a bitmap of fixed size (1 MB), whatever the number of ids."""
-    at = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
-    words = ids.select(F.floor(at / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
-    mask, found = np.zeros(bits // 64, np.int64), words.toPandas()
-    mask[found["w"]] = found["b"]
-    raw = words.sparkSession.sparkContext.broadcast(mask)
-
-    @F.pandas_udf("boolean")
-    def test(hashes: pd.Series) -> pd.Series:
-        x = hashes.to_numpy()
-        return pd.Series((raw.value[x // 64] >> (x % 64)) & 1 == 1)
-
-    return lambda c: test(F.pmod(F.xxhash64(c), F.lit(bits)))
-
-
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) of pairs of nodes, by their whole sets."""
-    likely = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("node")))
-    sets = sets.where(likely(F.col("node")))
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
 
@@ -330,6 +311,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     docs = pick(docs, doc="doc_id", text="text").withColumn("doc", F.col("doc").cast("long"))
     entry = _shared(_index(docs, percent, size), None)
     kinds = store.put(entry.withColumn("kind", F.when(F.col("sig").isNull(), "doc").otherwise("entry")), "index", ["kind"])
+    store.release()
     rows = kinds.where("kind = 'entry'").select("sig", "node", "room", "n")
     members = kinds.where("kind = 'doc'").select("doc", "node", "size")
     buckets = _affordable(rows, store)
@@ -347,7 +329,7 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
     links = store.put(members.join(twice, "doc").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "links")
     root = components(links, store)
     tried = docs.sparkSession.createDataFrame([], "a long, b long")
-    last = False
+    last = few = False
     for step in range(ROUNDS + 1):
         labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
         draw = F.xxhash64("node", F.lit(step))
@@ -356,8 +338,8 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
         work = spread.agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.sum("n").alias("rows")).first()
         if not work.rows:
             break
-        # what is left is compared in full when a round joins nothing, and as soon as that is no more work than a few rounds
-        last = last or step == ROUNDS or work.pairs <= 4 * work.rows
+        # what is left is compared in full when a round joins nothing, or as soon as that is little work, or not much and rounds join few
+        last = last or step == ROUNDS or work.pairs <= (64 if few else 4) * work.rows
         open_ = labelled.join(spread, "sig")
         if last:
             x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n)) for n in "ab")
@@ -369,13 +351,13 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
         pairs = store.put(pairs, "pairs")
         checked = store.put(_verify(pairs, sets, percent).distinct(), "checked")
         new = checked.where("linked").select("a", "b")
-        joined = not new.isEmpty()
-        if joined:
+        count = checked.agg(F.count("*").alias("n"), F.count_if("linked").alias("linked")).first()
+        if count.linked:
             # components of components: only the roots that the new links join
             links = store.put(root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new), "links")
             root = components(links, store)
         if last:
             break
         tried = store.put(tried.union(checked.select("a", "b")), "tried")
-        last = not joined
+        last, few = not count.linked, 10 * count.linked < count.n
     return root

@@ -176,6 +176,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, size: int = SEQUENCE, e
     path = store.path("pieces")
     pieces.write.option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(pieces.schema).parquet(path)
+    store.release()
     light = pieces.select("piece", "length", F.pmod(F.xxhash64("piece"), F.lit(SALTS)).cast("int").alias("salt"))
     # at most size * SALTS rows
     counts = light.groupBy("length", "salt").agg(F.count("*").alias("n"))

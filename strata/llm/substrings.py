@@ -90,13 +90,14 @@ def repeated(docs: DataFrame, store: Store, size: int = SIZE) -> DataFrame:
     level = store.put(level.select("a", "least", (F.col("r0") == F.col("r1")).alias("same")), "level")
     # in a document that is the first with the anchor nothing can be removed under it, but others are compared with its windows
     hits = store.put(runs.join(level, "a").where("not same or doc > least").select("doc", "tag", "start", "n", "same"), "hits")
-    store.drop(runs), store.drop(level)
+    store.drop(runs), store.drop(level), store.release()
     # level two: the windows of full length
     windows = store.put(_windows(docs, hits.where("not same"), size), "windows")
+    store.release()
     first = windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
     later = windows.join(first, "w").where("doc > least").select("doc", "tag", "start", F.lit(1).alias("n"))
     out = store.put(hits.where("same").select("doc", "tag", "start", "n").union(later), "repeated")
-    store.drop(windows), store.drop(hits)
+    store.drop(windows), store.drop(hits), store.release()
     return out
 
 
