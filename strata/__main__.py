@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     ap.add_argument("--impute", default="", help="comma-separated columns to mean-impute")
     ap.add_argument("--keys", required=True, help="comma-separated integer key columns (hash split)")
     ap.add_argument("--models", default="rf,dt,lr,gbt")
+    ap.add_argument("--params", default=None, help='JSON of model settings that replace the defaults, e.g. {"rf": {"numTrees": 50}}')
     ap.add_argument("--root", required=True, help="output root (any Hadoop URI)")
     ap.add_argument("--table", default="readings")
     args = ap.parse_args(argv)
@@ -34,7 +35,8 @@ def main(argv=None) -> None:
     split = lambda s: [x for x in s.split(",") if x]
     raw = read_table(spark, args.input, fmt=args.format, schema=args.schema, infer=args.infer)
     out = run_medallion(
-        raw, args.root, args.table, args.label, split(args.features), split(args.impute), split(args.keys), split(args.models)
+        raw, args.root, args.table, args.label, split(args.features), split(args.impute), split(args.keys), split(args.models),
+        json.loads(args.params) if args.params else None,
     )
     print(json.dumps(out, indent=2))
 

@@ -72,8 +72,8 @@ def rnd(col: Column, digits: int) -> Column:
 
     Means of decimal data often sit exactly on a rounding tie (2995.11 / 60000
     = 0.0499185); float sums in another order land a few ulps on either side.
-    Rounding first to ``digits + 2`` places snaps such values onto the decimal
-    they represent, then the half-up rounding is decided on that decimal.
+    Rounding first to ``digits + 6`` places takes that noise off and leaves
+    real digits, then the half-up rounding is decided on the decimal.
     -0.0 becomes 0.0 (adding 0.0 changes nothing else).
     """
-    return F.round(F.round(col, digits + 2), digits) + F.lit(0.0)
+    return F.round(F.round(col, digits + 6), digits) + F.lit(0.0)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import safe_ratio, rnd
 from strata.operators.ranking import running_totals
-from strata.plans.physical import join_small
+from strata.plans.physical import join_groups
 
 METRICS = ["accuracy", "f1", "weighted_precision", "weighted_recall"]
 
@@ -62,7 +62,7 @@ def per_class_metrics(df: DataFrame, label: str, pred: str, by: Sequence[str] =
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(F.lit(0))).alias("tp"),
     )
     prd = conf.groupBy(*by, F.col("prediction").alias("class")).agg(F.sum("count").alias("n_predicted"))
-    pc = lab.join(prd, [*by, "class"], "left").withColumn("n_predicted", F.coalesce("n_predicted", F.lit(0)))
+    pc = join_groups(lab, prd, [*by, "class"], "left").withColumn("n_predicted", F.coalesce("n_predicted", F.lit(0)))
     precision = F.coalesce(safe_ratio(F.col("tp"), F.col("n_predicted")), F.lit(0.0))
     recall = F.coalesce(safe_ratio(F.col("tp"), F.col("support")), F.lit(0.0))
     pc = pc.withColumn("precision", precision).withColumn("recall", recall)
@@ -125,7 +125,7 @@ def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None, by:
         return m
     a = auc_roc(df, label, score, by, digits=digits).select(*by, "auc")
     if by:
-        return m.join(a, list(by), "left")
+        return join_groups(m, a, by, "left")
     # both sides are one row; join on a constant key
     return m.withColumn("_k", F.lit(0)).join(a.withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
 
@@ -154,7 +154,7 @@ def targets_frame(spark, targets: Mapping[str, float] | None = None) -> DataFram
 
 def target_check(long_metrics: DataFrame, targets: DataFrame) -> DataFrame:
     """Join (…, metric, value) with (metric, target); ``target_met`` = value ≥ target."""
-    out = join_small(long_metrics, targets, "metric", "inner")
+    out = join_groups(long_metrics, targets, "metric")
     return out.withColumn("target_met", F.col("value") >= F.col("target")).withColumn(
         "status", F.when(F.col("target_met"), F.lit("met")).otherwise(F.format_string(">= %.2f", F.col("target")))
     )

@@ -52,7 +52,7 @@ def standard_scale(
         if f.name not in targets:
             continue
         m, s = stats[f.name]
-        x = F.col(f.name).cast("double")
+        x = as_double(df, f.name)
         if m is None:
             val = F.lit(None).cast("double")
         elif not s:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.features import scaler_stage
-from strata.plans.physical import join_small
+from strata.plans.physical import join_groups
 
 # The reference's model settings (trees, depth, iterations, seed).
 REFERENCE_PARAMS = {
@@ -33,6 +33,10 @@ REFERENCE_PARAMS = {
     "lr": {"maxIter": 100},
     "gbt": {"maxIter": 50, "maxDepth": 5, "seed": 42},
 }
+# The forest of the modelling notebook.
+NOTEBOOK_FOREST = REFERENCE_PARAMS["rf"] | {"minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
+# Defaults of every fit: the reference's settings, and those of the one model it does not have.
+MODEL_PARAMS = REFERENCE_PARAMS | {"svc": {"maxIter": 50}}
 MODEL_NAMES = {
     "rf": "Random Forest",
     "dt": "Decision Tree",
@@ -168,7 +172,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     w = Window.partitionBy()
     counts = counts.select(label, (F.sum("_nc").over(w) / (F.count(F.lit(1)).over(w) * F.col("_nc"))).alias(out))
-    return join_small(df, counts, label, "left")
+    return join_groups(df, counts, label, "left")
 
 
 __all__ = [

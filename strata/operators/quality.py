@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import rnd, safe_ratio
+from strata.functions.columns import as_double, rnd, safe_ratio
 
 
 def range_violations(df: DataFrame, rules: Sequence[tuple[str, float | None, float | None]]) -> DataFrame:
@@ -17,7 +17,7 @@ def range_violations(df: DataFrame, rules: Sequence[tuple[str, float | None, flo
     """
     aggs, cells = [], []
     for i, (c, lo, hi) in enumerate(rules):
-        x = F.col(c).cast("double")
+        x = as_double(df, c)
         bad = F.lit(False)
         if lo is not None:
             bad = bad | (x < F.lit(float(lo)))
@@ -37,10 +37,10 @@ def range_violations(df: DataFrame, rules: Sequence[tuple[str, float | None, flo
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, by: Sequence[str] = (), digits: int | None = 6) -> DataFrame:
-    """n, RMSE, MAE and R² per group from one aggregation (closed form)."""
+    """n, RMSE, MAE and R² per group from one aggregation (closed form), over the rows that have both values."""
     y, p = F.col(label).cast("double"), F.col(pred).cast("double")
     err = y - p
-    out = df.groupBy(*by).agg(
+    out = df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),

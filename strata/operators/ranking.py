@@ -15,18 +15,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.plans.physical import MAX_BROADCAST_ROWS, join_bounded, materialize
+from strata.plans.physical import join_groups, materialize
 
 
 class Running:
     """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input (with ``_slice``)."""
 
-    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame, bounded: bool):
+    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame):
         self.rows = rows
         self.totals = totals
         self.stored = stored
-        # every frame derived from the (slice, group) totals has at most that many rows
-        self.bounded = bounded
 
 
 def running_totals(
@@ -50,11 +48,8 @@ def running_totals(
     ranged = df.repartitionByRange(int(slices), *keys) if slices else df.repartitionByRange(*keys)
     ranged = ranged.withColumn("_slice", F.spark_partition_id())
     stored = materialize(ranged, "ranked")
-    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols]).persist()
-    # (slice, group) pairs: at most slices + groups - 1, counted once
-    bounded = totals.count() <= MAX_BROADCAST_ROWS
-    if bounded:
-        totals = totals.coalesce(1)  # proven small: one task instead of one per shuffle partition
+    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
+    # (slice, group) pairs: at most slices + groups - 1
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_slice",
@@ -65,12 +60,12 @@ def running_totals(
         Window.unboundedPreceding, Window.currentRow
     )
     local = stored.select("*", *[F.sum(w).over(inside).alias(f"_r_{w}") for w in weight_cols])
-    joined = join_bounded(local, offsets, ["_slice", *groups], bounded=bounded)
+    joined = join_groups(local, offsets, ["_slice", *groups])
     rows = joined.select(
         *df.columns, *[(F.col(f"_o_{w}") + F.col(f"_r_{w}")).alias(f"cum_{w}") for w in weight_cols]
     )
     group_totals = totals.groupBy(*groups).agg(*[F.sum(f"_t_{w}").alias(f"total_{w}") for w in weight_cols])
-    return Running(rows, group_totals, stored, bounded)
+    return Running(rows, group_totals, stored)
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
@@ -99,16 +94,13 @@ def quantiles_from_counts(
         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
     ).withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
     target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn("hi", F.ceil("pos").cast("bigint"))
-    # groups x probs rows, used three times below
-    target = (target.coalesce(1) if run.bounded else target).persist()
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
     # rows whose rank interval [cum - c, cum) holds a wanted rank: at most 2 * len(probs) per group
     covering = (
-        join_bounded(run.rows, ranks, groups, bounded=run.bounded)
+        join_groups(run.rows, ranks, groups)
         .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
         .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
     )
-    covering = (covering.coalesce(1) if run.bounded else covering).persist()
     wanted = target.select(
         *groups, "p", "n", "pos", "lo",
         F.inline(F.array(F.struct(F.lit(0).alias("_hi"), F.col("lo").alias("_rank")), F.struct(F.lit(1).alias("_hi"), F.col("hi").alias("_rank")))),
@@ -118,8 +110,7 @@ def quantiles_from_counts(
         F.col("c._from") <= F.col("t._rank"),
         F.col("t._rank") < F.col("c._to"),
     ]
-    # covering holds <= 2 * len(probs) rows per group: broadcast only under the checked bound
-    matched = wanted.join(F.broadcast(c) if run.bounded else c, cond, "left").select(
+    matched = wanted.join(c, cond, "left").select(
         *[F.col(f"t.{g}").alias(g) for g in groups], "t.p", "t.n", "t.pos", "t.lo", "t._hi", F.col(f"c.{value_col}").cast("double").alias("_v")
     )
     pair = matched.groupBy(*groups, "p", "n", "pos", "lo").agg(

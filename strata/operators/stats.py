@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import as_double, rnd
 from strata.operators.profile import feature_long
 from strata.operators.ranking import quantiles_from_counts, value_counts
-from strata.plans.physical import join_bounded, join_small
+from strata.plans.physical import join_groups
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
@@ -97,13 +97,13 @@ def histogram(
         F.when(same, F.col("_max") + 0.5).otherwise(F.col("_max")).alias("_hi"),
         "_n",
     ).withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
-    binned = join_small(long, bounds, keys).select(
+    binned = join_groups(long, bounds, keys).select(
         *keys,
         F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_w")).cast("int"), F.lit(bins - 1)).alias("bin"),
     )
     counts = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = bounds.select(*keys, "_lo", "_w", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, [*keys, "bin"], "left").select(
+    out = join_groups(grid, counts, [*keys, "bin"], "left").select(
         *keys,
         "bin",
         (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
@@ -142,7 +142,7 @@ def box_stats(
     if method == "exact":
         # (feature, class, value, count): far smaller than the rows when values repeat
         q, run = quantiles_from_counts(value_counts(long, keys, "value"), keys, "value", [0.25, 0.5, 0.75])
-        counts, bounded = run.stored, run.bounded
+        counts = run.stored
         quart = q.groupBy(*keys).agg(
             F.first("n").alias("n"),
             F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
@@ -151,7 +151,7 @@ def box_stats(
         )
     elif method == "approx":
         pa = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        counts, bounded = long.withColumn("_c", F.lit(1)), None
+        counts = long.withColumn("_c", F.lit(1))
         quart = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), pa.alias("_q")).select(
             *keys, "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3")
         )
@@ -168,13 +168,10 @@ def box_stats(
         (F.col("q1") - F.lit(whisker) * iqr).alias("lo_fence"),
         (F.col("q3") + F.lit(whisker) * iqr).alias("hi_fence"),
     )
-    # one row per (feature, class); used by the tail pass and the result
-    fences = (fences.coalesce(1) if bounded else fences).persist()
     v, c = F.col("value"), F.col("_c")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     edges = fences.select(*keys, "lo_fence", "hi_fence")
-    # one fence row per group: bounded by the running-total check when exact, counted otherwise
-    joined = join_small(counts, edges, keys) if bounded is None else join_bounded(counts, edges, keys, bounded=bounded)
+    joined = join_groups(counts, edges, keys)
     tails = joined.groupBy(*keys).agg(
         F.min(F.when(inside, v)).alias("whisker_lo"),
         F.max(F.when(inside, v)).alias("whisker_hi"),
@@ -182,7 +179,7 @@ def box_stats(
         F.coalesce(F.sum(F.when(v > F.col("hi_fence"), c)), F.lit(0)).cast("bigint").alias("n_high"),
     )
     # both sides hold one row per (feature, class)
-    out = (join_small(tails, fences, keys) if bounded is None else join_bounded(tails, fences, keys, bounded=bounded)).withColumn(
+    out = join_groups(tails, fences, keys).withColumn(
         "n_outliers", F.col("n_low") + F.col("n_high")
     )
     dbl = ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence", "whisker_lo", "whisker_hi"]
@@ -197,7 +194,7 @@ def outlier_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), whi
     keys = ["feature", *by]
     stats = box_stats(df, cols, by, whisker=whisker, method=method, digits=None)
     long = feature_long(df, cols, by)
-    joined = join_small(long, stats.select(*keys, "lo_fence", "hi_fence"), keys)
+    joined = join_groups(long, stats.select(*keys, "lo_fence", "hi_fence"), keys)
     return joined.filter((F.col("value") < F.col("lo_fence")) | (F.col("value") > F.col("hi_fence"))).drop(
         "lo_fence", "hi_fence"
     )

@@ -76,7 +76,7 @@ def _published(sql: str) -> str:
     """Oracle form of ``rnd``: every ``round(x, d) + 0.0`` is rounded in two stages like Spark.
 
     Spark rounds the shortest decimal text of a double half-up; DuckDB rounds
-    ``x * 10^d`` in binary.  Stage one snaps to d + 2 places, a DECIMAL cast
+    ``x * 10^d`` in binary.  Stage one takes float noise off at d + 6 places, a DECIMAL cast
     makes stage two an exact decimal half-up rounding in DuckDB as well.
     """
     out, i = [], 0
@@ -98,7 +98,7 @@ def _published(sql: str) -> str:
         head, _, digits = inner.rpartition(",")
         if sql.startswith(" + 0.0", k + 1) and digits.strip().isdigit():
             d = int(digits)
-            out.append(sql[i:j] + f"CAST(round(CAST(round({_published(head)}, {d + 2}) AS DECIMAL(38, {d + 2})), {d}) AS DOUBLE)")
+            out.append(sql[i:j] + f"CAST(round(CAST(round({_published(head)}, {d + 6}) AS DECIMAL(38, {d + 6})), {d}) AS DOUBLE)")
         else:
             out.append(sql[i : j + 6] + _published(inner) + ")")
         i = k + 1
@@ -861,11 +861,9 @@ def q_class_weights(spark, sf):
 )
 def q_regression_metrics(spark, sf):
     from strata.operators.quality import regression_metrics
-    from strata.plans.physical import join_small
-
     li = table(spark, sf, "lineitem").select("l_partkey", "l_extendedprice", "l_quantity")
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    j = join_small(li, part, "l_partkey")
+    j = li.join(part, "l_partkey")
     j = j.select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * F.col("p_retailprice")).alias("yhat"))
     return regression_metrics(j, "y", "yhat")
 
@@ -971,11 +969,9 @@ def q_cross_validation(spark, sf):
 @query("regression_models")
 def q_regression_models(spark, sf):
     from strata.plans.gold import regression_baselines
-    from strata.plans.physical import join_small
-
     li = table(spark, sf, "lineitem").select(*KEYS, "l_extendedprice", "l_quantity", "l_discount")
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size")
-    j = join_small(li, part, "l_partkey")
+    j = li.join(part, "l_partkey")
     return regression_baselines(FE.hash_split(j, KEYS), ["l_quantity", "l_discount", "p_retailprice", "p_size"], "l_extendedprice", KEYS)
 
 
@@ -993,12 +989,13 @@ def q_medallion_run(spark, sf):
 def q_stream_model_scoring(spark, sf):
     """A decision-tree pipeline fitted on the training rows scores lineitem as a file stream."""
     from strata.operators.models import build_pipeline
-    from strata.plans.gold import QUERY_PARAMS, _split
+    from strata.operators.models import MODEL_PARAMS
+    from strata.plans.gold import _split
     from strata.plans.readings import readings_of
     from strata.streaming.scoring import score_model_files
 
     train, _ = _split(_model_inputs(spark, sf))
-    model = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **QUERY_PARAMS["dt"]).fit(train)
+    model = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS["dt"]).fit(train)
     return score_model_files(
         spark, model, f"{sf.rstrip('/')}/lineitem.parquet", _scratch(spark, "stream-model"), prepare=readings_of, keep=[*KEYS, LABEL]
     )

@@ -1,8 +1,7 @@
 """Gold layer: fit the classifiers, score the test rows, compare and rank.
 
 Train and test come from the hash split, are cached once and reused by every
-fit and every metric.  Parameters default to a size that fits the test
-budget; ``REFERENCE_PARAMS`` holds the original settings.
+fit and every metric.  Parameters default to the reference's settings.
 """
 
 from __future__ import annotations
@@ -17,18 +16,16 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 
 from strata.operators import evaluate as E
 from strata.operators.features import scaler_stage
-from strata.operators.models import MODEL_NAMES, build_pipeline, classifier, fit_all, importances, predictions_long
-from strata.plans.physical import ensure_parallelism
+from strata.operators.models import MODEL_NAMES, MODEL_PARAMS, build_pipeline, classifier, fit_all, importances, predictions_long
 
-# Parameters used by the catalog queries (smaller than the reference's
-# 100 trees / depth 10 / 50 iterations, which remain in REFERENCE_PARAMS).
-QUERY_PARAMS = {
-    "rf": {"numTrees": 20, "maxDepth": 5, "seed": 42},
-    "dt": {"maxDepth": 5, "seed": 42},
-    "lr": {"maxIter": 100},
-    "gbt": {"maxIter": 5, "maxDepth": 5, "seed": 42},
-    "svc": {"maxIter": 50},
-}
+# Partitions of the rows that models are fitted on.  A forest's bagging draws by
+# partition, so the layout must come from the data and this number alone.
+FIT_PARTITIONS = 32
+
+
+def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The same rows in the same order in the same partitions, on any cluster."""
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
 
 
 def _split(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
@@ -37,7 +34,7 @@ def _split(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFram
 
 
 def _split_base(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame, DataFrame]:
-    base = ensure_parallelism(df).persist()
+    base = fixed_layout(df).persist()
     return base, base.filter(F.col(split_col) == "train"), base.filter(F.col(split_col) == "test")
 
 
@@ -72,7 +69,7 @@ def model_predictions(
 ) -> DataFrame:
     """Fit one pipeline on the train rows, return its long predictions on the test rows."""
     base, train, test = _split_base(df)
-    pipe = build_pipeline(kind, features, label, impute=impute, **(params or QUERY_PARAMS[kind]))
+    pipe = build_pipeline(kind, features, label, impute=impute, **(params or MODEL_PARAMS[kind]))
     model = pipe.fit(train)
     base.unpersist()  # the returned predictions are a narrow map; they re-read the input if needed
     return predictions_long({MODEL_NAMES[kind]: model}, test, keys, label)
@@ -80,7 +77,7 @@ def model_predictions(
 
 def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str) -> DataFrame:
     base, train, _ = _split_base(df)
-    model = build_pipeline(kind, features, label, impute=impute, **QUERY_PARAMS[kind]).fit(train)
+    model = build_pipeline(kind, features, label, impute=impute, **MODEL_PARAMS[kind]).fit(train)
     base.unpersist()
     return importances(model, features, MODEL_NAMES[kind])
 
@@ -112,7 +109,7 @@ def run_models(
     train_v, test_v = _vectors(prep, [train, test], [*keys, label, "features"])
     base.unpersist()  # only the vectors stay cached
     clfs = {
-        MODEL_NAMES[k]: Pipeline(stages=[classifier(k, features="features", label=label, **((params or {}).get(k) or QUERY_PARAMS[k]))])
+        MODEL_NAMES[k]: Pipeline(stages=[classifier(k, features="features", label=label, **((params or {}).get(k) or MODEL_PARAMS[k]))])
         for k in kinds
     }
     fitted = fit_all(clfs, train_v)
@@ -226,14 +223,16 @@ def regression_baselines(df: DataFrame, features: Sequence[str], target: str, ke
     from strata.operators.quality import regression_metrics
 
     train, test = _split(df)
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    prep = [Imputer(inputCols=list(features), outputCols=list(features), strategy="mean"), asm]
+    train, test = (f.withColumns({c: F.col(c).cast("double") for c in features}) for f in (train, test))
     models = {
         "Ridge Regression": LinearRegression(featuresCol="features", labelCol=target, regParam=0.1, elasticNetParam=0.0),
         "Gradient Boosted Regression": GBTRegressor(featuresCol="features", labelCol=target, maxIter=10, maxDepth=5, seed=42),
     }
     frames = []
     for name, est in models.items():
-        fitted = Pipeline(stages=[asm, est]).fit(train)
+        fitted = Pipeline(stages=[*prep, est]).fit(train)
         frames.append(fitted.transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y"), F.col("prediction").alias("yhat")))
     allp = frames[0]
     for f in frames[1:]:

@@ -1,61 +1,26 @@
-"""Physical-plan helpers: size-checked broadcast and lineage cuts."""
+"""Physical-plan helpers: null-safe group joins and lineage cuts."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.session import checkpoint_dir
 
-# Largest number of rows of an aggregated side that is broadcast.  Such sides
-# are (feature x class) bounds, (group x probability) targets, (partition x
-# group) offsets: far below this.  Larger sides fall back to a shuffle join.
-MAX_BROADCAST_ROWS = 200_000
 
+def join_groups(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group columns where null equals null, so that the null group keeps its rows.
 
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``big`` with an aggregated ``small`` side.
-
-    The small side is cached and counted first (one job over an already
-    aggregated frame).  It is broadcast only when it holds at most
-    ``max_rows`` rows; otherwise the join is left to a shuffle join.
-    """
-    from pyspark.sql import functions as F
-
-    small = small.persist()
-    n = small.count()
-    # a proven-small side is read by one task, not one per shuffle partition
-    side = F.broadcast(small.coalesce(1)) if n <= max_rows else small
-    return big.join(side, on=on, how=how)
-
-
-def join_bounded(
-    big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner", bounded: bool = False
-) -> DataFrame:
-    """Join with a side whose row bound was already checked (``bounded``): broadcast it, else shuffle-join."""
-    from pyspark.sql import functions as F
-
-    return big.join(F.broadcast(small) if bounded else small, on=on, how=how)
-
-
-def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` has fewer partitions than the cluster can run.
-
-    For inputs read from a handful of large files (one task per row group)
-    before iterative work such as model fitting.  On a large input with many
-    splits it returns ``df`` unchanged, so no shuffle is added at scale.
-    """
-    want = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
+    No side is forced: AQE broadcasts a side it has measured as small and
+    splits a hot group of a shuffled one."""
+    keys = [on] if isinstance(on, str) else list(on)
+    if not keys:
+        return left.crossJoin(right)
+    other = right.select(*[F.col(c).alias(f"_on_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = [left[k].eqNullSafe(other[f"_on_{k}"]) for k in keys]
+    return left.join(other, same, how).drop(*[f"_on_{k}" for k in keys])
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -36,7 +36,7 @@ def _file_stream(spark: SparkSession, source: str, max_files_per_trigger: int) -
     if source.endswith(".parquet") and not any(ch in source for ch in "*?[{"):
         # a single file: watch it through a glob so partition discovery starts at its folder
         folder, name = source.rsplit("/", 1)
-        source = f"{folder}/{name[:-len('.parquet')]}*.parquet"
+        source = f"{folder}/{name[:-1]}[{name[-1]}]"
         reader = reader.option("basePath", folder)
     return reader.parquet(source)
 

@@ -8,7 +8,8 @@ from conftest import SF001
 from strata.operators import evaluate as E
 from strata.operators.models import build_pipeline, importances, predictions_long
 from strata.operators.features import hash_split
-from strata.plans.gold import QUERY_PARAMS, model_comparison
+from strata.operators.models import MODEL_PARAMS
+from strata.plans.gold import model_comparison
 from strata.plans.readings import FEATURES, KEYS, LABEL, readings
 
 IMPUTED = ["qty", "price", "tax"]
@@ -29,14 +30,14 @@ def test_models_beat_majority_class(spark, split):
     rate = test.agg(F.avg(F.col(LABEL))).first()[0]
     base = max(rate, 1 - rate)
     for kind, floor in [("dt", 0.85), ("rf", 0.85), ("lr", 0.75), ("gbt", 0.85)]:
-        m = build_pipeline(kind, FEATURES, LABEL, impute=IMPUTED, **QUERY_PARAMS[kind]).fit(train)
+        m = build_pipeline(kind, FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS[kind]).fit(train)
         acc = E.classification_metrics(predictions_long({kind: m}, test, KEYS, LABEL), "label", "prediction").first()["accuracy"]
         assert acc >= floor and acc > base, kind
 
 
 def test_saved_model_gives_identical_predictions(spark, split):
     train, test = split
-    m = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **QUERY_PARAMS["dt"]).fit(train)
+    m = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS["dt"]).fit(train)
     path = tempfile.mkdtemp(prefix="strata-model-") + "/m"
     m.write().overwrite().save(path)
     again = PipelineModel.load(path)
@@ -47,7 +48,7 @@ def test_saved_model_gives_identical_predictions(spark, split):
 
 def test_importances_sum_to_one_and_rank(spark, split):
     train, _ = split
-    m = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **QUERY_PARAMS["dt"]).fit(train)
+    m = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS["dt"]).fit(train)
     imp = importances(m, FEATURES, "dt").orderBy("rank").collect()
     assert sum(r["importance"] for r in imp) == pytest.approx(1.0)
     assert [r["rank"] for r in imp] == [1, 2, 3, 4]
