@@ -84,8 +84,8 @@ def entries(shingles: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.n
     """(signatures, room) of a set, in its own band's segments and, where a smaller partner can be in the band below, in those.
 
     ``room`` is how many units may be given up; the lowest bits of a signature
-    tell the instance (2: the band below) and whether its segment has two
-    units (1)."""
+    tell the parity of the segments' band (2), which differs between the two,
+    and whether its segment has two units (1)."""
     size = len(shingles)
     band, low, high = band_edges(size, percent)
     at = [(0, band, low, high)]
@@ -104,25 +104,25 @@ def entries(shingles: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[np.n
         salt = hashing.mix(np.array([k], _U), 17)
         named = hashing.mix((used + 1).astype(_U) * salt, 19)
         two = used < double
-        out = [_tag(hashing.mix(total, 23) ^ named, instance, two)]
+        out = [_tag(hashing.mix(total, 23) ^ named, k, two)]
         lost = (m - len(used)) + (double - int(two.sum()))  # empty parts: all their units
         if two.any():
             group = np.repeat(np.arange(len(start)), n)
             pick_ = two[group] & (n[group] > 1)  # less one of a single shingle is empty
             left = total[group[pick_]] - token[pick_]
-            out.append(_tag(hashing.mix(left, 23) ^ named[group[pick_]], instance, np.ones(int(pick_.sum()), bool)))
+            out.append(_tag(hashing.mix(left, 23) ^ named[group[pick_]], k, np.ones(int(pick_.sum()), bool)))
             lost += int((two & (n == 1)).sum())
         largest = size * 100 // percent if not instance else low - 1  # of the partners
         room = m + double - (size + largest) * (100 - percent) // (100 + percent) - 1 - lost
         if room < 0:  # too many empty parts: index these too, for sets in the same case
             empty = np.setdiff1d(np.arange(m), used)
             bare = np.concatenate([empty, used[two & (n == 1)]])
-            out.append(_tag(hashing.mix((bare + 1).astype(_U) * salt, 29), instance, bare < double))
+            out.append(_tag(hashing.mix((bare + 1).astype(_U) * salt, 29), k, bare < double))
         yield np.unique(np.concatenate(out)), room
 
 
-def _tag(sig: np.ndarray, instance: int, two: np.ndarray) -> np.ndarray:
-    return (sig << _U(2)) | _U(2 * instance) | two.astype(_U)
+def _tag(sig: np.ndarray, band: int, two: np.ndarray) -> np.ndarray:
+    return (sig << _U(2)) | _U(2 * (band & 1)) | two.astype(_U)
 
 
 def set_id(shingles: np.ndarray) -> int:
