@@ -24,7 +24,7 @@ from strata.llm.common import Store, map_batches, pick
 
 SAMPLE = 20_000  # rows the tree is fitted on
 CALIBRATION = 200  # queries of the exact comparison
-LEAF = 512  # candidates a leaf should hold
+LEAF = 4096  # candidates a leaf should hold: each leaf visited gives k + 1 rows, so few large ones
 BLOCK = 4096  # candidates a task's block holds at most, about
 RECALL = 0.97
 
