@@ -18,18 +18,22 @@ nothing.
 
 Buckets are not expanded into pairs.  Round by round each set is compared with
 one other of its buckets that is not yet in its component, most shared buckets
-first; when a round joins nothing more, all that is left is compared.
+first; when a round joins little more, all that is left is compared.
+
+Before sets are compared, their parity sketches are: each shingle flips one of
+512 bits, so two sketches differ in no more bits than the sets do in shingles,
+and a pair whose sketches differ in more than a linked pair's sets can is none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import hashing
@@ -40,6 +44,8 @@ SHINGLE = 5
 GROWTH = 1.6  # a band's largest size over its smallest
 MOST = 100_000  # sets of a bucket held at once; larger ones all count as this large
 ROUNDS = 12
+WORDS = 8  # 64-bit words of a sketch
+_SKETCH = [f"w{i}" for i in range(WORDS)]
 
 _U = np.uint64
 _ENTRY = "sig long, node long, room int, doc long, size int"
@@ -131,6 +137,19 @@ def set_id(shingles: np.ndarray) -> int:
     return int(whole.view(np.int64)[0])
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles dealt to each bit."""
+    odd = np.bincount((hashing.mix(shingles, 41) % _U(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:
+    """False for pairs that cannot link, by their sizes and sketches."""
+    sizes = 100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
+    apart = sum((F.bit_count(x(w).bitwiseXOR(y(w))) for w in _SKETCH[1:]), F.bit_count(x(_SKETCH[0]).bitwiseXOR(y(_SKETCH[0]))))
+    return sizes & (apart * (100 + percent) <= (x("size") + y("size")) * (100 - percent))
+
+
 def _index(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Signature rows (sig, node, room) and, with a null sig, one row per document (doc, node, size)."""
 
@@ -237,7 +256,7 @@ def _affordable(rows: DataFrame, store: Store) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store, size: int) -> DataFrame:
-    """(node, set) of the given nodes: sorted shingle hashes, read off one document of each."""
+    """(node, set, size, sketch words) of the given nodes: sorted shingle hashes, read off one document of each."""
     chosen = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
     chosen = store.put(chosen, "chosen")
 
@@ -246,12 +265,14 @@ def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store,
         for node, text in zip(b["node"].to_pylist(), b["text"]):
             s = hashing.shingles(text.as_py(), size)
             if len(s) and set_id(s) == node:  # not another row of that id
-                found.append((node, s.tobytes()))
+                found.append((node, s.tobytes(), len(s), sketch(s)))
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([x[1] for x in found], pa.binary())], names=["node", "set"])
+            node, sets, count, bits = zip(*found)
+            words = [pa.array(w) for w in np.array(bits).T]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sets, pa.binary()), pa.array(count, pa.int64()), *words], names=["node", "set", "size", *_SKETCH])
 
     read = docs.join(chosen, "doc").select("node", "text")
-    out = store.put(map_batches(read, run, "node long, set binary"), "sets")
+    out = store.put(map_batches(read, run, ", ".join(["node long, set binary, size long", *(f"{w} long" for w in _SKETCH)])), "sets")
     store.release()
     store.drop(chosen)
     return out
@@ -325,27 +346,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
 def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store, percent: int, size: int) -> DataFrame:
     """(node, root): components of the links among bucket neighbours, and of nodes that share a document id."""
     sets = _texts(docs, buckets.select("node").distinct(), members, store, size)
+    known = ["size", *_SKETCH]
+    buckets = store.put(buckets.join(sets.select("node", *known).dropDuplicates(["node"]), "node"), "sketched")
     twice = members.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
     links = store.put(members.join(twice, "doc").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "links")
     root = components(links, store)
     tried = docs.sparkSession.createDataFrame([], "a long, b long")
     last = few = False
     for step in range(ROUNDS + 1):
-        labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
+        labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"), *known)
         draw = F.xxhash64("node", F.lit(step))
-        spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root"), draw).alias("lead"), F.count("*").alias("n")).where("r0 < r1")
+        spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root", *known), draw).alias("lead"), F.count("*").alias("n")).where("r0 < r1")
         spread = store.put(spread.select("sig", "lead", "n"), "spread")
         work = spread.agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.sum("n").alias("rows")).first()
         if not work.rows:
             break
-        # what is left is compared in full when a round joins nothing, or as soon as that is little work, or not much and rounds join few
-        last = last or step == ROUNDS or work.pairs <= (64 if few else 4) * work.rows
+        # what is left is compared in full when a round joins nothing, or as soon as that is little work, or not much (mostly looks at sketches) and rounds join few
+        last = last or step == ROUNDS or work.pairs <= (512 if few else 4) * work.rows
         open_ = labelled.join(spread, "sig")
         if last:
-            x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n)) for n in "ab")
-            pairs = x.join(y, "sig").where("a < b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+            x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in known)) for n in "ab")
+            pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
+            pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         else:
-            near = open_.where("root <> lead.root").groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.count("*").alias("n"))
+            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.count("*").alias("n"))
             near = near.join(tried, ["a", "b"], "left_anti")
             pairs = near.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.a", "p.b").distinct()
         pairs = store.put(pairs, "pairs")
@@ -359,5 +383,5 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
         if last:
             break
         tried = store.put(tried.union(checked.select("a", "b")), "tried")
-        last, few = not count.linked, 10 * count.linked < count.n
+        last, few = not count.linked, 1000 * count.linked < work.rows
     return root

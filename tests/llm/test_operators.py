@@ -99,6 +99,15 @@ def test_jaccard_signatures_meet_for_every_linked_pair():
         assert len(shared)
 
 
+def test_jaccard_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 60, 900, 5000):
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.9], rng.integers(0, 2**63, n // 10, dtype=np.uint64)]))
+        bits = sum(int(w & (2**64 - 1)).bit_count() for w in (jaccard.sketch(x) ^ jaccard.sketch(y)).tolist())
+        assert bits <= len(np.setxor1d(x, y))
+
+
 def test_substrings(docs, empty):
     rows = texts(docs)
     first = {}
