@@ -279,7 +279,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store,
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of pairs of nodes, by their whole sets."""
+    """(u, v, a, b, linked) of pairs of nodes a, b with roots u, v, by their whole sets."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
 
@@ -289,9 +289,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             p, q = (np.frombuffer(v.as_buffer(), _U) for v in (x, y))
             same = len(np.intersect1d(p, q, assume_unique=True))
             linked.append(100 * same >= percent * (len(p) + len(q) - same))
-        return pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(linked)], names=["a", "b", "linked"])
+        return pa.RecordBatch.from_arrays([b["u"], b["v"], b["a"], b["b"], pa.array(linked)], names=["u", "v", "a", "b", "linked"])
 
-    return map_batches(both.select("a", "b", "x", "y"), run, "a long, b long, linked boolean")
+    return map_batches(both.select("u", "v", "a", "b", "x", "y"), run, "u long, v long, a long, b long, linked boolean")
 
 
 def components(edges: DataFrame, store: Store) -> DataFrame:
@@ -302,12 +302,7 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
     edges = store.put(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = _digest(edges)
     while True:
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        after = store.put(large.join(below, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        after = store.put(_star_step(edges), "edges")
         store.drop(edges)
         edges, now = after, _digest(after)
         if now == before:
@@ -315,6 +310,23 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
         before = now
 
 
+def _star_step(edges: DataFrame) -> DataFrame:
+    """Both steps once, on edges with ``u > v``: the same components in flatter trees."""
+    both = edges.union(edges.select("v", "u"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    below = large.groupBy("u").agg(F.min("v").alias("m"))
+    ends = F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+    return large.join(below, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+
+
+def _labels(edges: DataFrame) -> DataFrame:
+    """(node, root): a lesser node of the same component, two hops down.  Equal roots are connected; the converse need not hold yet."""
+    down = edges.groupBy("u").agg(F.min("v").alias("v"))
+    next_ = down.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    return down.join(next_, "v", "left").select(F.col("u").alias("node"), F.coalesce("w", "v").alias("root"))
+
+
 def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
@@ -351,6 +363,7 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
     twice = members.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
     links = store.put(members.join(twice, "doc").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "links")
     root = components(links, store)
+    forest = root.select(F.col("node").alias("u"), F.col("root").alias("v"))
     tried = docs.sparkSession.createDataFrame([], "a long, b long")
     last = few = False
     for step in range(ROUNDS + 1):
@@ -367,21 +380,21 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
         if last:
             x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in known)) for n in "ab")
             pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
-            pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.select(F.greatest("ra", "rb").alias("u"), F.least("ra", "rb").alias("v"), "a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         else:
-            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.count("*").alias("n"))
+            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.count("*").alias("n"), F.min(F.greatest("root", "lead.root")).alias("u"), F.min(F.least("root", "lead.root")).alias("v"))
             near = near.join(tried, ["a", "b"], "left_anti")
-            pairs = near.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.a", "p.b").distinct()
+            pairs = near.groupBy("node").agg(F.max_by(F.struct("u", "v", "a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.u", "p.v", "p.a", "p.b").distinct()
         pairs = store.put(pairs, "pairs")
         checked = store.put(_verify(pairs, sets, percent).distinct(), "checked")
-        new = checked.where("linked").select("a", "b")
         count = checked.agg(F.count("*").alias("n"), F.count_if("linked").alias("linked")).first()
         if count.linked:
-            # components of components: only the roots that the new links join
-            links = store.put(root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new), "links")
-            root = components(links, store)
+            # links of roots; labels need not be whole before the end, so one step a round is enough
+            forest = store.put(_star_step(forest.union(checked.where("linked").select("u", "v"))), "forest")
         if last:
             break
+        if count.linked:
+            root = store.put(_labels(forest), "root")
         tried = store.put(tried.union(checked.select("a", "b")), "tried")
         last, few = not count.linked, 1000 * count.linked < work.rows
-    return root
+    return components(forest.select(F.col("u").alias("a"), F.col("v").alias("b")), store)
