@@ -210,6 +210,27 @@ def test_quality(docs, empty):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in quality.judge_quality(docs).collect())
 
 
+def test_quality_limits_decide():
+    """Documents of sf0.1: short texts full of symbols go, short prose with numbers or a license line stays."""
+    clean = [
+        ("fr", "Pas. Éauxaux etèmenteuxeau aile.\nDe, ré retreeau.\nAll rights reserved."),
+        ("de", "Ie, des. Heitbe ötz.\nLicensed under the Apache License, Version 2.0."),
+        ("en", "Was orer.\nThis work is licensed under the GNU General Public License, version 3."),
+        ("fr", "Èqueelle. Aiment ourepa èê queçé oitreoi aiçre.\n1219538112535716 Éaielletre.\nEn laleenéelle la des et. Enmentai. Réleou eauoué.\nLes."),
+    ]
+    junk = [
+        ("en", "Thingor%%% that*** of.&&& Onerea$$$ erored$$$ thoring%%% tionnd.%%%\nThe and attion to thanedble the, anea. Eriner thanea."),
+        ("en", "Threston&&& orer*** atnd*** ththsh$$$ is%%% thha*** andrelythha.%%%\nThe and attion to thanedble the, anea. Eriner thanea."),
+        ("en", "For&&& thstrend&&& ouedst$$$ eres*** than.\nThndating.$$$\nThe and attion to thanedble the, anea. Eriner thanea."),
+    ]
+    kept = [x[-1] for x in quality._judge([t for _, t in clean + junk], [x for x, _ in clean + junk], quality.model_path(), quality.BANDS)]
+    assert kept == [True] * len(clean) + [False] * len(junk)
+    en = quality.BANDS["en"]
+    assert en.keeps(1000, 2.2, 0.0, 0.06, 6.7 / np.log2(1000))
+    assert not en.keeps(1000, 2.2, 0.0, 0.06, 6.0 / np.log2(1000))  # entropy alone
+    assert not en.keeps(1000, 1.8, 0.0, 0.06, 6.7 / np.log2(1000)) and not en.keeps(1000, 2.7, 0.0, 0.06, 6.7 / np.log2(1000))  # characters alone
+
+
 def test_sharding(docs, empty):
     rows = sharding.shard(docs, shards=3, bundles_per_shard=4).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in texts(docs))
