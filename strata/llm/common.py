@@ -81,11 +81,12 @@ class WordCache:
     """Encodings of distinct words, kept between the batches of a Python worker.
 
     ``encode`` turns a list of new words into a list of little-endian id
-    strings.  Past ``limit`` words the cache starts again, which bounds memory
-    and changes no result."""
+    strings.  Past ``limit`` words the cache starts again, and words of more
+    than ``longest`` characters are not kept, which bounds memory and changes
+    no result."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000):
-        self.encode, self.limit, self.known = encode, limit, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int | None = None):
+        self.encode, self.limit, self.longest, self.known = encode, limit, longest, {}
 
     def __call__(self, words: list[str]) -> list[bytes]:
         """Of distinct words."""
@@ -96,6 +97,9 @@ class WordCache:
             found = self.encode(fresh)
             for i, x in zip(new, found):
                 out[i] = x
+            if self.longest is not None and max(map(len, fresh)) > self.longest:
+                short = [i for i, w in enumerate(fresh) if len(w) <= self.longest]
+                fresh, found, new = [fresh[i] for i in short], [found[i] for i in short], [new[i] for i in short]
             if len(self.known) + len(new) > self.limit:
                 self.known.clear()
             if len(new) <= self.limit:

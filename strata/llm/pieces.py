@@ -52,14 +52,14 @@ class Vocabulary:
             raise ValueError("a piece reaches across the start of a word")
         alone = "" if any("\n" in p for p in self.id) else "\n"
         self.cut = re.compile(rf"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (r"|\n" if alone else "")).findall
-        self.code = {p: i.to_bytes(2, "little") for p, i in self.id.items()}
+        self.id_bytes = {i: i.to_bytes(2, "little") for i in self.id.values()}
         self.text = {i: p for p, i in self.id.items()}
         ends: dict[str, set[int]] = {}
         for p in self.id:
             ends.setdefault(p[-3:], set()).add(len(p))
         self.ends = {k: sorted(v, reverse=True) for k, v in ends.items()}  # last three characters -> lengths of pieces, longest first
         self.pairs, self.pair_limit = {}, pair_limit
-        self.cache = WordCache(self.encode_words)
+        self.cache = WordCache(self.encode_words, longest=256)
 
     def _merge(self, text: str) -> list[str]:
         """Merge the best-scored neighbours, leftmost first, until no two make a piece."""
@@ -91,42 +91,50 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """16-bit ids of each word; sorted, so that a prefix shared with the word before is not passed again."""
         found, before = {}, ""
-        last, ids, best = [-1], [b""], [0.0]  # of each prefix: its last piece, all its pieces, its score
+        last, size, best = [-1], [0], [0.0]  # of each prefix: its last piece (-1: an unknown character), that piece's length, its score
         step = self._merge_step if self.merges else self._score_step
         for word in sorted(set(words)):
             common, most = 0, min(len(word), len(before))
             while common < most and word[common] == before[common]:
                 common += 1
-            del last[common + 1 :], ids[common + 1 :], best[common + 1 :]
+            del last[common + 1 :], size[common + 1 :], best[common + 1 :]
             for end in range(common + 1, len(word) + 1):
-                step(word, end, last, ids, best)
-            found[word] = ids[-1]
+                step(word, end, last, size, best)
+            found[word] = self._walk_back(word, last, size)
             before = word
         return [found[w] for w in words]
 
-    def _merge_step(self, word: str, end: int, last: list[int], ids: list[bytes], best: list[float]) -> None:
+    def _walk_back(self, word: str, last: list[int], size: list[int]) -> bytes:
+        """The ids of the whole word, from its end."""
+        parts, end = [], len(word)
+        while end:
+            parts.append(self._fallback(word[end - 1]) if last[end] < 0 else self.id_bytes[last[end]])
+            end -= size[end]
+        return b"".join(reversed(parts))
+
+    def _merge_step(self, word: str, end: int, last: list[int], size: list[int], best: list[float]) -> None:
         """The piece that ends at ``end`` and may follow the shorter prefix's last one: there is just one."""
         pairs, known = self.pairs, self.id
-        for size in (*self.ends.get(word[max(0, end - 3) : end], ()), 2, 1) if end > 2 else (2, 1)[2 - end :]:
-            if size <= end and (piece := known.get(word[end - size : end])) is not None:
-                fits = pairs.get(last[end - size] * 65536 + piece)
-                if fits or fits is None and self._may_follow(last[end - size], piece):
+        for n in (*self.ends.get(word[max(0, end - 3) : end], ()), 2, 1) if end > 2 else (2, 1)[2 - end :]:
+            if n <= end and (piece := known.get(word[end - n : end])) is not None:
+                fits = pairs.get(last[end - n] * 65536 + piece)
+                if fits or fits is None and self._may_follow(last[end - n], piece):
                     last.append(piece)
-                    ids.append(ids[end - size] + self.code[word[end - size : end]])
+                    size.append(n)
                     return
         last.append(-1)
-        ids.append(ids[end - 1] + self._fallback(word[end - 1]))
+        size.append(1)
 
-    def _score_step(self, word: str, end: int, last: list[int], ids: list[bytes], best: list[float]) -> None:
+    def _score_step(self, word: str, end: int, last: list[int], size: list[int], best: list[float]) -> None:
         """Viterbi: the piece with the best score in all."""
-        top = best[end - 1] - 1e6, ids[end - 1] + self._fallback(word[end - 1])
-        for size in range(min(self.longest, end), 0, -1):
-            p = word[end - size : end]
-            if p in self.score and best[end - size] + self.score[p] > top[0]:
-                top = best[end - size] + self.score[p], ids[end - size] + self.code[p]
-        last.append(-1)
+        top = best[end - 1] - 1e6, -1, 1
+        for n in range(min(self.longest, end), 0, -1):
+            p = word[end - n : end]
+            if p in self.score and best[end - n] + self.score[p] > top[0]:
+                top = best[end - n] + self.score[p], self.id[p], n
         best.append(top[0])
-        ids.append(top[1])
+        last.append(top[1])
+        size.append(top[2])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; new words of all texts share one sorted pass."""

@@ -197,6 +197,27 @@ def test_pieces(docs, empty):
         assert v.encode([t])[0].tolist() == sp.encode(t)
 
 
+def test_pieces_of_long_words_take_linear_memory():
+    import random
+    import tracemalloc
+
+    import sentencepiece
+
+    model = quality.model_path()
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    draw = random.Random(4)
+    base = "".join(draw.choices("ABCDEFabcdefghijklmnopqrstuvwxyz0123456789+/", k=20_000))
+    words = [base, base[:15_000] + "end", "".join(draw.choices("日本語漢字仮名", k=20_000)), "😀" * 5_000]
+    v = pieces.Vocabulary(model)
+    tracemalloc.start()
+    got = v.encode(words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50_000_000
+    assert [x.tolist() for x in got] == [sp.encode(w) for w in words]
+    assert not any(len(w) > 256 for w in v.cache.known)
+
+
 def test_quality(docs, empty):
     rows = {(r.doc_id, r.n_words): r for r in quality.judge_quality(docs).collect()}
     assert rows[4, 0].base_failed and not rows[4, 0].kept and not rows[1, 120].base_failed
