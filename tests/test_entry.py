@@ -2,7 +2,7 @@ import glob
 import os
 
 import __spark_entry__ as entry_mod
-from conftest import SF0001
+from strata_paths import SF0001
 
 
 def test_entry_runs_on_smoke_data(spark):

@@ -3,7 +3,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from strata_paths import SF001
 from strata.operators import evaluate as E
 from strata.plans.rules import rule_predictions
 

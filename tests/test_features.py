@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from strata_paths import SF001
 from strata.operators import features as FE
 from strata.plans.readings import FEATURES, KEYS, readings
 

@@ -1,6 +1,6 @@
 import tempfile
 
-from conftest import SF0001
+from strata_paths import SF0001
 from strata.plans.medallion import run_medallion
 from strata.plans.readings import FEATURES, KEYS, LABEL, readings
 from strata.sources.layers import read_layer

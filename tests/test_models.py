@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from strata_paths import SF001
 from strata.operators import evaluate as E
 from strata.operators.models import build_pipeline, importances, predictions_long
 from strata.operators.features import hash_split

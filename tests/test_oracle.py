@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF001
+from strata_paths import SF001
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
