@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, common, jaccard, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
+from strata.llm import bpe, chat, common, jaccard, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,17 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat)}
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode_documents(bpe.encode_documents(common.table(sf_dir, "documents", spark)))
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat, op11_bpe)}
 
 _URL_SQL = """
 WITH parts AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -81,12 +82,14 @@ class WordCache:
     """Encodings of distinct words, kept between the batches of a Python worker.
 
     ``encode`` turns a list of new words into a list of little-endian id
-    strings.  Past ``limit`` words the cache starts again, and words of more
+    strings.  Past ``limit`` bytes the cache starts again, and words of more
     than ``longest`` characters are not kept, which bounds memory and changes
     no result."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 600_000, longest: int | None = None):
-        self.encode, self.limit, self.longest, self.known = encode, limit, longest, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 80_000_000, longest: int = 256):
+        self.encode, self.limit, self.longest = encode, limit, longest
+        self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def __call__(self, words: list[str]) -> list[bytes]:
         """Of distinct words."""
@@ -97,15 +100,27 @@ class WordCache:
             found = self.encode(fresh)
             for i, x in zip(new, found):
                 out[i] = x
-            if self.longest is not None and max(map(len, fresh)) > self.longest:
-                short = [i for i, w in enumerate(fresh) if len(w) <= self.longest]
-                fresh, found, new = [fresh[i] for i in short], [found[i] for i in short], [new[i] for i in short]
-            if len(self.known) + len(new) > self.limit:
-                self.known.clear()
-            if len(new) <= self.limit:
-                self.known.update(zip(fresh, found))
+            self._keep({w: x for w, x in zip(fresh, found) if len(w) <= self.longest})
         return out
 
+    def _keep(self, fresh: dict[str, bytes]) -> None:
+        size = sum(map(getsizeof, fresh)) + sum(map(getsizeof, fresh.values())) + 100 * len(fresh)
+        if self.held + size > self.limit:
+            self.known.clear()
+            self.held = 0
+        if size <= self.limit:
+            self.known.update(fresh)
+            self.held += size
+
+    def joined(self, words: list[str]) -> bytes:
+        """The encodings of one text's words in a row."""
+        out = [*map(self.known.get, words)]
+        if None in out:
+            new = [*{w for w, x in zip(words, out) if x is None}]
+            found = dict(zip(new, self(new)))
+            out = [found[w] if x is None else x for w, x in zip(words, out)]
+        return b"".join(out)
+
     def rows(self, words: pa.ListArray) -> list[bytes]:
         """Of each row, the encodings of its words in a row."""
         coded = words.flatten().dictionary_encode()
