@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, common, jaccard, neighbours, packing, pieces, quality, sharding, substrings, url_rules, warc
+from strata.llm import bpe, chat, common, jaccard, neighbours, packing, pieces, quality, repair, sharding, substrings, url_rules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat, op11_bpe)}
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(common.table(sf_dir, "conversations", spark)))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat, op11_bpe, op12_repair)}
 
 _URL_SQL = """
 WITH parts AS (
@@ -170,4 +174,62 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, (SELECT min(b) FROM rea
 FROM documents d LEFT JOIN n USING (doc_id)
 """
 
-ORACLE = {"op2_jaccard": _JACCARD_SQL, "op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL}
+_REPAIR_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), crc AS (
+  SELECT key, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, len(key) + 1),
+      lambda i: [ascii(substr(key, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))), 4294967295) % 20 AS fate
+  FROM (SELECT DISTINCT key FROM src)
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src JOIN crc USING (key)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i, left(role, 1) AS initial
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged)
+), r AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    initial || lead(initial) OVER (PARTITION BY conv_id ORDER BY i) AS pair FROM numbered
+), ids AS (
+  SELECT DISTINCT conv_id FROM src
+), counts AS (
+  SELECT ids.conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM ids LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM ids.conv_id GROUP BY ids.conv_id
+), inserts(before, k, mid, added) AS (
+  VALUES ('', 0, '', []::VARCHAR[]), ('', 1, 'u', ['user:']), ('', 2, 'a', ['user:', 'assistant:']),
+    ('s', 0, 's', []), ('s', 1, 'u', ['user:']), ('s', 2, 'a', ['user:', 'assistant:']),
+    ('u', 0, 'u', []), ('u', 1, 'a', ['assistant:']), ('u', 2, 'u', ['assistant:', 'user:']),
+    ('a', 0, 'a', []), ('a', 1, 'u', ['user:']), ('a', 2, 'a', ['user:', 'assistant:'])
+), edits(mid, edit, needs, after, named, cost) AS (
+  SELECT mid, 'D', NULL::VARCHAR, mid, NULL::VARCHAR, 4 FROM (VALUES (''), ('s'), ('u'), ('a')) v(mid)
+  UNION ALL VALUES ('', 'K', 's', 's', NULL, 0), ('', 'K', 'u', 'u', NULL, 0), ('s', 'K', 'u', 'u', NULL, 0), ('a', 'K', 'u', 'u', NULL, 0), ('u', 'K', 'a', 'a', NULL, 0),
+    ('', 'R', NULL, 'u', 'user', 3), ('s', 'R', NULL, 'u', 'user', 3), ('a', 'R', NULL, 'u', 'user', 3), ('u', 'R', NULL, 'a', 'assistant', 3)
+), moves AS (
+  SELECT before, after, repeat('I', k) || edit AS letters, edit, needs, named, added, 3 * k + cost AS cost FROM inserts JOIN edits USING (mid)
+), dp(conv_id, i, state, best) AS (
+  SELECT conv_id, 0::BIGINT, '', {'cost': 0::BIGINT, 'audit': '', 'put': []::VARCHAR[]} FROM ids
+  UNION ALL
+  SELECT dp.conv_id, dp.i + 1, m.after, min({'cost': dp.best.cost + m.cost + CASE WHEN m.edit <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END,
+    'audit': dp.best.audit || m.letters,
+    'put': list_concat(dp.best.put, list_concat(m.added, CASE WHEN m.edit = 'D' THEN []::VARCHAR[] ELSE [coalesce(m.named, r.role) || ':' || r.text] END))})
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1
+  JOIN moves m ON m.before = dp.state AND (m.needs IS NULL OR m.needs = r.initial) AND (m.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY dp.conv_id, dp.i, m.after
+), ended AS (
+  SELECT dp.conv_id, min({'cost': best.cost + 3 * x.k, 'audit': best.audit || repeat('I', x.k), 'put': list_concat(best.put, x.added)}) AS best
+  FROM dp JOIN counts c ON c.conv_id IS NOT DISTINCT FROM dp.conv_id AND c.n = dp.i
+  JOIN inserts x ON x.before = dp.state AND x.mid IN ('', 'a')
+  GROUP BY dp.conv_id
+)
+SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit, sha256(array_to_string(best.put, chr(10))) AS repaired_sha256
+FROM counts c JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+ORACLE = {"op2_jaccard": _JACCARD_SQL, "op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL, "op12_repair": _REPAIR_SQL}
