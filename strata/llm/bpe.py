@@ -66,6 +66,7 @@ class Vocabulary:
         vocab = model["vocab"]
         self.size = 1 + max([*vocab.values(), *(t["id"] for t in added)])
         chars = byte_strings()
+        self.raw_id = [i.to_bytes(4, "little") for i in range(self.size)]
         self.start = [vocab[c] for c in chars]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank_of = {vocab[a] * self.size + vocab[b]: rank for rank, (a, b) in enumerate(pairs)}.get
@@ -136,7 +137,7 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """32-bit ids of each word or added token."""
-        return [self.added.get(w) or np.array(self.merge(w.encode()), "<u4").tobytes() for w in words]
+        return [self.added.get(w) or b"".join([self.raw_id[i] for i in self.merge(w.encode())]) for w in words]
 
     def encode(self, text: str) -> bytes:
         """32-bit ids of one text."""

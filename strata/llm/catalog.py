@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, common, jaccard, neighbours, packing, pieces, quality, repair, sharding, substrings, url_rules, warc
+from strata.llm import bpe, chat, common, jaccard, neighbours, packing, pieces, quality, repair, sharding, substrings, trie, url_rules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,11 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(common.table(sf_dir, "conversations", spark)))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat, op11_bpe, op12_repair)}
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(common.table(sf_dir, "conversations", spark))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_jaccard, op3_neighbours, op4_warc, op5_url_rules, op6_pieces, op7_quality, op8_sharding, op9_substrings, op10_chat, op11_bpe, op12_repair, op13_trie)}
 
 _URL_SQL = """
 WITH parts AS (

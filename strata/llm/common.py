@@ -82,13 +82,15 @@ class WordCache:
     """Encodings of distinct words, kept between the batches of a Python worker.
 
     ``encode`` turns a list of new words into a list of little-endian id
-    strings.  Past ``limit`` bytes the cache starts again, and words of more
-    than ``longest`` characters are not kept, which bounds memory and changes
-    no result."""
+    strings.  Words met since the last turnover are in ``known``, those met
+    only before it in ``old``; when ``known`` holds half of ``limit`` bytes it
+    becomes ``old``, so words met often stay.  Words of more than ``longest``
+    characters are not kept.  This bounds memory and changes no result."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 80_000_000, longest: int = 256):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 100_000_000, longest: int = 256):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     def __call__(self, words: list[str]) -> list[bytes]:
@@ -96,21 +98,24 @@ class WordCache:
         out = [*map(self.known.get, words)]
         new = [i for i, x in enumerate(out) if x is None]
         if new:
-            fresh = [words[i] for i in new]
-            found = self.encode(fresh)
+            found = self._find([words[i] for i in new])
             for i, x in zip(new, found):
                 out[i] = x
-            self._keep({w: x for w, x in zip(fresh, found) if len(w) <= self.longest})
         return out
 
-    def _keep(self, fresh: dict[str, bytes]) -> None:
-        size = sum(map(getsizeof, fresh)) + sum(map(getsizeof, fresh.values())) + 100 * len(fresh)
-        if self.held + size > self.limit:
-            self.known.clear()
-            self.held = 0
-        if size <= self.limit:
-            self.known.update(fresh)
+    def _find(self, words: list[str]) -> list[bytes]:
+        found = [*map(self.old.get, words)]
+        fresh = [w for w, x in zip(words, found) if x is None]
+        made = iter(self.encode(fresh)) if fresh else iter(())
+        found = [next(made) if x is None else x for x in found]
+        keep = {w: x for w, x in zip(words, found) if len(w) <= self.longest}
+        size = sum(map(getsizeof, keep)) + sum(map(getsizeof, keep.values())) + 100 * len(keep)
+        if self.held + size > self.limit // 2:
+            self.old, self.known, self.held = self.known, {}, 0
+        if size <= self.limit // 2:
+            self.known.update(keep)
             self.held += size
+        return found
 
     def joined(self, words: list[str]) -> bytes:
         """The encodings of one text's words in a row."""
