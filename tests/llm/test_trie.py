@@ -46,23 +46,14 @@ def check(spark, rows):
     assert len(got) == len({(r.conv_id, r.depth) for r in got})
 
 
-def test_random_conversations(spark):
+def test_all_kinds_at_once(spark):
+    """Random ones that share openings, a deep one, copies that part at their ends, thousands of copies, and awkward rows; pieces of few ids."""
     rng = random.Random(1)
-    rows = [(c, rng.choice([t, t, t, None]), rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "", None, "日本"])) for c in range(-150, 450, 1) for t in range(rng.randrange(1, 9)) if c % 7]
-    check(spark, rows + [(None, 1, "user", "x")])
-
-
-def test_deep_and_wide(spark):
-    """One long conversation, copies of a middling one that part at their ends, and many single turns."""
-    rows = [(5, t, "user", f"t{t}") for t in range(700)]
-    rows += [(1000 + c, t, "user", f"s{t}" if t < 30 else f"{c}{t}") for c in range(0, 40) for t in range(33)]
-    rows += [(100000 + 7 * c, 0, "user", f"only {c % 50}") for c in range(400)]
-    check(spark, rows)
-
-
-def test_hot_copies_are_cut(spark):
-    """A conversation with thousands of copies; pieces of few ids."""
-    rows = [(c, t, "user", f"{t}") for c in range(3000) for t in range(2)]
+    rows = [(c, rng.choice([t, t, t, None]), rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "", None, "日本"])) for c in range(-150, 450) for t in range(rng.randrange(1, 9)) if c % 7]
+    rows += [(1005, t, "user", f"t{t}") for t in range(150)]
+    rows += [(2000 + c, t, "user", f"s{t}" if t < 12 else f"{c}{t}") for c in range(40) for t in range(14)]
+    rows += [(10_000 + c, t, "user", f"{t}") for c in range(2000) for t in range(2)]
+    rows += [(None, 1, "user", "x"), (7, None, None, None), (7, None, None, None), (2**62, 1, "u", "é"), (-300, 2, "", ""), (9100, 1, "u", "x" * 2_000_000), (9107, 1, "u", "y")]
     chunk, trie.CHUNK = trie.CHUNK, 64
     try:
         check(spark, rows)
@@ -70,10 +61,6 @@ def test_hot_copies_are_cut(spark):
         trie.CHUNK = chunk
 
 
-def test_awkward(spark):
-    check(spark, [(1, None, None, None), (1, None, None, None), (100, 1, "u", "x" * 2_000_000), (2**62, 1, "u", "é"), (-3, 2, "", ""), (107, 1, "u", "y")])
-
-
 def test_extra_columns_and_empty(spark):
     frame = spark.createDataFrame([(1, 1, "user", "a", "q")], "conv_id long, turn long, role string, text string, TEXT string")
     assert trie.prefix_trie(frame).count() == len(brute([(1, 1, "user", "a")]))
@@ -83,10 +70,10 @@ def test_extra_columns_and_empty(spark):
 def test_roll_up_sums_any_value(spark):
     """Subtree sizes by the roll-up alone; rounds stay logarithmic on a path."""
     store = common.Store(spark, "test")
-    rows = spark.range(400).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
+    rows = spark.range(100).select(F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
     nodes, paths = trie.prefix_nodes(rows, store)
     found = trie.roll_up(nodes.withColumn("one", F.lit(1).cast("long")), paths, ["one"], store)
-    assert {(r.depth, r.one) for r in found.collect()} == {(d, 401 - d) for d in range(401)}
+    assert {(r.depth, r.one) for r in found.collect()} == {(d, 101 - d) for d in range(101)}
 
 
 def test_query(spark):
