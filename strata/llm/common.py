@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+import weakref
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from sys import getsizeof
 
@@ -50,9 +51,12 @@ class Store:
         return f"{self.root}/{self.n}-{name}"
 
     def put(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        path = self.path(name)
+        """Columns are stored by position if names clash but for case."""
+        path, names = self.path(name), df.columns
+        if len({n.lower() for n in names}) < len(names):
+            df = df.toDF(*[f"_{i}" for i in range(len(names))])
         df.write.partitionBy(*partition_by).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).toDF(*names)
 
     def drop(self, df: DataFrame) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
@@ -78,6 +82,15 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.
     return df.mapInArrow(run, schema)
 
 
+_CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()
+
+
+def forget_words() -> None:
+    """Empties this worker's word caches: tasks that use none need the memory for themselves."""
+    for cache in _CACHES:
+        cache.clear()
+
+
 class WordCache:
     """Encodings of distinct words, kept between the batches of a Python worker.
 
@@ -89,6 +102,10 @@ class WordCache:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 100_000_000, longest: int = 256):
         self.encode, self.limit, self.longest = encode, limit, longest
+        self.clear()
+        _CACHES.add(self)
+
+    def clear(self) -> None:
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import hashing
-from strata.llm.common import Store, map_batches, pick
+from strata.llm.common import Store, forget_words, map_batches, pick
 
 PERCENT = 80
 SHINGLE = 5
@@ -154,6 +154,7 @@ def _index(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Signature rows (sig, node, room) and, with a null sig, one row per document (doc, node, size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         seen: set[int] = set()  # of this task: a copy need not be indexed again
 
         def batch(sig, node, room, docs_):

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import hashing
@@ -65,8 +66,9 @@ BANDS = {
     "other": Band(0.25, 9.0, 2.0, 0.98, 3.5, 10.0, 0.56, 12.0, 0.98, 1.15),
 }
 
-_BASE = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()), ("n_dup_lines", T.LongType()), ("n_repeat_words", T.LongType()), ("base_failed", T.BooleanType())]
-_FERTILITY = [("chars_per_token", T.DoubleType()), ("byte_share", T.DoubleType()), ("bare_share", T.DoubleType()), ("entropy_share", T.DoubleType()), ("band", T.StringType()), ("kept", T.BooleanType())]
+_BASE = [("n_words", T.LongType()), ("word_chars", T.LongType()), ("n_symbols", T.LongType()), ("n_dup_lines", T.LongType()), ("n_repeat_words", T.LongType()), ("base_failed", T.BooleanType()), ("kept", T.BooleanType())]
+_FERTILITY = [("chars_per_token", T.DoubleType()), ("byte_share", T.DoubleType()), ("bare_share", T.DoubleType()), ("entropy_share", T.DoubleType()), ("band", T.StringType())]
+_KEPT = len(_BASE) - 1
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
 _BLANK = " \t\n\x0b\x0c\r"
@@ -138,12 +140,12 @@ def _judge(texts: list, langs: list, model: str, bands: dict[str, Band]) -> list
             chars, bytes_, bare, entropy = fertility(ids, base[1], kind)
             name = lang if lang in bands else _script(text or " ")
             fits = bands[name].keeps(len(ids), chars, bytes_, bare, entropy)
-            out.append((*base, chars, bytes_, bare, entropy, name, fits and not base[-1]))
+            out.append((*base, fits and not base[-1], chars, bytes_, bare, entropy, name))
     return out
 
 
 def judge_quality(docs: DataFrame, model: str | None = None, bands: dict[str, Band] | None = None) -> DataFrame:
-    """One row per document: doc_id, the base counts, the fertility measures, the band and whether it is kept.
+    """One row per document: doc_id, the base counts, whether it is kept, the fertility measures and the band.
 
     ``word_chars`` counts code points in words, ``n_symbols`` the characters
     ``#*$%&|<>``, ``n_dup_lines`` the lines with a word that equal an earlier
@@ -164,13 +166,18 @@ def judge_quality(docs: DataFrame, model: str | None = None, bands: dict[str, Ba
 
 
 def keep_clean(docs: DataFrame, model: str | None = None, bands: dict[str, Band] | None = None) -> DataFrame:
-    """The documents that ``judge_quality`` keeps, with all their columns."""
+    """The documents that ``judge_quality`` keeps, with all their columns, also where names clash but for case.
+
+    Only text and language go to Python, and only verdicts come back.  Null
+    and empty texts go, as they have too few words; repeated rows and null ids are
+    judged each; a null language falls back to the script; an empty table stays
+    empty.  Texts of any length are judged whole."""
     model, bands = model or model_path(), bands or BANDS
     names = docs.columns
-    text, lang = names.index("text"), names.index("lang")
     flat = docs.toDF(*[f"_{i}" for i in range(len(names))])
 
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        return b.filter(pa.array([x[-1] for x in _judge(b[text].to_pylist(), b[lang].to_pylist(), model, bands)]))
+    @F.arrow_udf("boolean")
+    def keep(text: pa.Array, lang: pa.Array) -> pa.Array:
+        return pa.array([x[_KEPT] for x in _judge(text.to_pylist(), lang.to_pylist(), model, bands)], pa.bool_())
 
-    return map_batches(flat, run, flat.schema).toDF(*names)
+    return flat.where(keep(f"_{names.index('text')}", f"_{names.index('lang')}")).toDF(*names)

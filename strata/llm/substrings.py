@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import hashing
-from strata.llm.common import Store, map_batches
+from strata.llm.common import Store, forget_words, map_batches
 
 SIZE = 50
 _RUN = "a long, r long, doc long, tag int, start int, n int"
@@ -43,6 +43,7 @@ def anchored_runs(h: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
 
 def _runs(docs: DataFrame, size: int) -> DataFrame:
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        forget_words()
         parts, held = [], 0
 
         def batch():
