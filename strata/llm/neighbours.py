@@ -117,14 +117,17 @@ def _augmented(rows: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([rows, np.sqrt(np.maximum(0, longest**2 - (rows * rows).sum(1)))[:, None]])
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = RECALL) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", recall: float = RECALL, leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id and score (inner product in double precision) of each query's ``k`` nearest found.
 
     Queries are the rows whose id ``every`` divides; all other rows are their
     candidates (all of them, if fewer than ``k``), equal scores in order of id.  Vectors that are null,
     zero, or hold null or non-finite components, and those of another length
     than most, take no part; nor do null ids.  Repeated rows of an id and vector count once.  An
-    empty table gives no rows; other columns are ignored."""
+    empty table gives no rows; other columns are ignored.  ``leaf`` is how many
+    candidates a leaf should hold, ``block`` how many candidates or queries of a
+    leaf a task takes at most, about.  A query visits more leaves than
+    calibrated where those hold too few candidates to fill its list."""
     spark = vectors.sparkSession
     store = Store(spark, "nearest")
     rows = usable(vectors, id_column, vector_column).distinct().withColumn("same", F.xxhash64("v"))
@@ -140,31 +143,45 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
     longest = units.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
     sample = units.select("unit", "v").orderBy(F.xxhash64("unit")).limit(SAMPLE).toArrow()
     fitted = _augmented(_matrix(sample["v"].combine_chunks()), longest)
-    tree = Tree(fitted, max(1, min(-(-n // LEAF), SAMPLE // 16)))
+    tree = Tree(fitted, max(1, min(-(-n // leaf), SAMPLE // 16)))
     tree_at = spark.sparkContext.broadcast(tree)  # at most SAMPLE / 8 centres
 
     def leafed(b: pa.RecordBatch) -> pa.RecordBatch:
-        leaf = tree_at.value.file(_augmented(_matrix(b["v"]), longest))
-        return pa.RecordBatch.from_arrays([b["unit"], b["v"], pa.array(leaf, pa.int32())], names=["unit", "v", "leaf"])
+        at = tree_at.value.file(_augmented(_matrix(b["v"]), longest))
+        return pa.RecordBatch.from_arrays([b["unit"], b["v"], pa.array(at, pa.int32())], names=["unit", "v", "leaf"])
 
     filed = store.put(map_batches(units.select("unit", "v"), leafed, "unit long, v array<double>, leaf int"), "filed")
     is_query = rows.where(F.pmod("id", F.lit(every)) == 0).select("id", "same", "v")
     asked = store.put(is_query.select("same", "v").distinct().join(units.select("same", "v", "unit"), ["same", "v"]).select("unit", "v"), "asked")
     visits = _calibrate(asked, filed, tree, longest, k, recall)
+    held = np.zeros(tree.leaves, np.int64)  # one row a leaf
+    for r in filed.groupBy("leaf").count().collect():
+        held[r["leaf"]] = r["count"]
+
+    def leaves_of(query: np.ndarray) -> list[int]:
+        found = tree_at.value.visit(query, visits)
+        if held[found].sum() <= k:  # k + 1 hold k besides the query's own
+            found = tree_at.value.visit(query, tree_at.value.leaves)
+            found = found[: max(visits, int(np.searchsorted(np.cumsum(held[found]), k + 1)) + 1)]
+        return found
 
     def walk(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         queries = _augmented(_matrix(b["v"]), longest)
         queries[:, -1] = 0.0  # distance then orders as the inner product does
-        lists = [tree_at.value.visit(q, visits) for q in queries]
+        lists = [*map(leaves_of, queries)]
         times = np.array([len(x) for x in lists])
         at = np.repeat(np.arange(len(lists)), times)
         yield pa.RecordBatch.from_arrays([b["unit"].take(pa.array(at)), b["v"].take(pa.array(at)), pa.array(np.concatenate(lists), pa.int32())], names=["unit", "v", "leaf"])
 
     walked = map_batches(asked, walk, "unit long, v array<double>, leaf int")
-    # large leaves are cut into blocks, which a leaf's queries all visit; the table of blocks is bounded by the tree
-    blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    candidates = filed.join(F.broadcast(blocks), "leaf").select("leaf", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int").alias("block"), "unit", "v")
-    walked = walked.join(F.broadcast(blocks), "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "unit", "v")
+    # a leaf's candidates and its queries are cut into blocks, and each block of the ones meets each of the others; the table of blocks is bounded by the tree
+    walked = store.put(walked, "walked")
+    cut = lambda df, name: df.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    blocks = F.broadcast(cut(filed, "blocks").join(cut(walked, "parts"), "leaf"))
+    own = lambda n: F.pmod(F.xxhash64("unit"), F.col(n)).cast("int")
+    every_one = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    candidates = filed.join(blocks, "leaf").select("leaf", own("blocks").alias("block"), every_one("parts").alias("part"), "unit", "v")
+    walked = walked.join(blocks, "leaf").select("leaf", every_one("blocks").alias("block"), own("parts").alias("part"), "unit", "v")
 
     def match(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -179,7 +196,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_column: str = "
             qs.append(part["unit"].to_numpy()[q]), us.append(cu[u]), ss.append(score[q, u])
         return pa.table({"query": np.concatenate(qs), "unit": np.concatenate(us), "score": np.concatenate(ss)})
 
-    found = walked.groupBy("leaf", "block").cogroup(candidates.groupBy("leaf", "block")).applyInArrow(match, "query long, unit long, score double")
+    found = walked.groupBy("leaf", "block", "part").cogroup(candidates.groupBy("leaf", "block", "part")).applyInArrow(match, "query long, unit long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "unit")
     found = found.withColumn("at", F.row_number().over(best)).where(F.col("at") <= k + 1).select("query", "unit", "score")
     # k + 1 units hold at least k rows besides the query itself
