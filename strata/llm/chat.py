@@ -43,7 +43,10 @@ def root_to_leaf(nodes: DataFrame, store: Store) -> DataFrame:
 
     ``nodes``: tree, node, parent (null or unknown: a root).  Iterative: each
     round doubles the length of all paths by one self-join on the jumps, and
-    the jumps by another; it ends when no path can grow."""
+    the jumps by another; it ends when no path can grow.  A node on a cycle of
+    replies, or its own parent, counts as a root: jumps longer than the largest
+    tree lead onto cycles only, whose nodes then lose their parents."""
+    largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     known = nodes.select("tree", F.col("node").alias("parent"))
     jump = store.put(nodes.join(known, ["tree", "parent"]).select("tree", "node", F.col("parent").alias("to")), "jumps")
     leaves = nodes.select("tree", "node").join(jump.select("tree", F.col("to").alias("node")), ["tree", "node"], "left_anti")
@@ -55,6 +58,10 @@ def root_to_leaf(nodes: DataFrame, store: Store) -> DataFrame:
         again = jump.select("tree", F.col("to").alias("node"), F.col("node").alias("from")).join(jump, ["tree", "node"])
         jump = store.put(again.select("tree", F.col("from").alias("node"), "to"), "jumps")
         step *= 2
+        if step > largest and not jump.isEmpty():
+            circular = jump.select("tree", F.col("to").alias("node")).distinct().withColumn("circular", F.lit(True))
+            cut = nodes.join(circular, ["tree", "node"], "left")
+            return root_to_leaf(store.put(cut.select("tree", "node", F.when(F.col("circular").isNull(), F.col("parent")).alias("parent")), "cut"), store)
     return paths
 
 
@@ -66,9 +73,11 @@ def format_trees(messages: DataFrame, top: int | None = None, trained: str = "as
     score, then by leaf; ``top`` paths a tree are kept (None: all).  Null roles
     and texts count as empty.  Spans are code-point offsets and lengths of the
     ``trained`` role's texts in ``formatted``.  Empty input gives no rows; a
-    row with a null tree or node belongs to no path."""
+    null tree is a tree like others; a row with a null node belongs to no path;
+    nodes on cycles of replies are roots."""
     store = Store(messages.sparkSession, "chat")
-    rows = messages.where("tree is not null and node is not null")
+    # inside a struct nulls equal each other, so a null tree joins like any
+    rows = messages.where("node is not null").withColumn("tree", F.struct("tree"))
     light = store.put(rows.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
     paths = root_to_leaf(light, store).join(light.select("tree", "node", "score"), ["tree", "node"])
     scored = paths.groupBy("tree", "leaf").agg(F.sum("score").alias("total"))
@@ -93,7 +102,7 @@ def format_trees(messages: DataFrame, top: int | None = None, trained: str = "as
     spans = F.transform(F.arrays_zip("turns", starts.alias("start")), lambda z: F.struct((z["start"] + F.length(z["turns"]["head"])).alias("start"), F.length(z["turns"]["body"]).alias("length"), z["turns"]["learnt"].alias("learnt")))
     formatted = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], t["tail"])), "")
     spans = F.transform(F.filter(spans, lambda s: s["learnt"]), lambda s: F.struct(s["start"], s["length"]))
-    return out.select("tree", "leaf", "rank", formatted.alias("formatted"), spans.alias("loss_spans"))
+    return out.select("tree.tree", "leaf", "rank", formatted.alias("formatted"), spans.alias("loss_spans"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -108,7 +117,10 @@ def read_loss(formatted: Column, spans: Column) -> Column:
 
 
 def conversation_chains(conversations: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text`` rows as trees of one branch: each row answers the one before it (order: turn, role, text)."""
-    rows = pick(conversations, tree="conv_id", turn="turn", role="role", text="text").where("tree is not null")
+    """``conv_id, turn, role, text`` rows as trees of one branch: each row answers the one before it (order: turn, role, text, nulls first).
+
+    A null conv_id is a conversation of its own; repeated rows are turns each;
+    other columns are ignored; an empty table gives no rows."""
+    rows = pick(conversations, tree="conv_id", turn="turn", role="role", text="text")
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     return rows.select("tree", F.row_number().over(order).cast("long").alias("node"), "role", "text", F.lit(0.0).alias("score")).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))

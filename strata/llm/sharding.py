@@ -3,8 +3,8 @@
 Groups (equal texts) are the items.  The many small ones are first hashed into
 a fixed number of bundles per shard, so what is placed one by one is bounded by
 a parameter: bundles, and the groups that alone outweigh one.  A group heavier
-than ``split_above`` of a shard is cut into pieces, since no placement of the
-whole could balance.  Items go heaviest first to the shard where the dot
+than a whole shard is cut into pieces, since no placement of the whole could
+balance.  Items go heaviest first to the shard where the dot
 product of their vector with the shard's residual capacity is highest.
 """
 
@@ -35,11 +35,11 @@ def place(items: np.ndarray, shards: int) -> np.ndarray:
     return where
 
 
-def shard(docs: DataFrame, shards: int = 24, bundles_per_shard: int = 256, split_above: float = 0.25) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, bundles_per_shard: int = 256, split_above: float = 1.0) -> DataFrame:
     """One row per document: doc_id, size, tokens, text_crc32, group, shard and slot (gapless from 0 in each shard).
 
     ``size`` is the UTF-8 length plus 8; tokens are words.  Equal texts share a
-    shard unless they alone fill more than ``split_above`` of one.  Null texts
+    shard unless they alone fill more than ``split_above`` shards.  Null texts
     count as empty (size 8) and form one group with empty ones; repeated rows
     and null ids are rows like any other; an empty table gives no rows; other
     columns are ignored."""

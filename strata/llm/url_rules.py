@@ -1,8 +1,8 @@
 """URL block and allow rules as a sort-merge range join.
 
 A host's labels in reverse order make a key under which a domain and all its
-subdomains form one interval: ``net,`` opens the interval that holds
-``net,example,`` and everything below.  Urls and rules are dealt to parts by
+subdomains form one interval: ``net/`` opens the interval that holds
+``net/example/`` and everything below.  Urls and rules are dealt to parts by
 ranges of that key, sorted together, and swept once: a stack holds the rules
 whose intervals are open, nested from the widest to the narrowest.
 
@@ -43,8 +43,8 @@ def url_parts(urls: DataFrame, id_column: str = "page_id", url_column: str = "ur
 
 
 def _key(host):
-    """``www.example.net`` -> ``net,example,www,``"""
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), ","), F.lit(","))
+    """``www.example.net`` -> ``net/example/www/``; no host holds a slash."""
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "/"), F.lit("/"))
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, id_column: str = "page_id", url_column: str = "url", default: str = "allow", parts: int | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_column: str = "page_id", ur
     ``rules`` has verdict, host and path.  A rule fits its host and all
     subdomains when the url's path starts with the rule's; of several the
     longest rule text wins, then the longer host, then the smaller text.  A
-    rule with a null part is no rule.  Null urls and urls without ``://`` get
+    rule with a null part is no rule, nor is one with a slash in its host.  Null urls and urls without ``://`` get
     an empty host and path and the default; repeated rows are judged each; an
     empty rule table gives the default throughout; other columns are ignored.
     """
@@ -79,7 +79,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, id_column: str = "page_id", ur
                 m = len(at)
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([row["key"]] * m), pa.array([0] * m, pa.int32()), pa.nulls(m, pa.int64()), pa.array([row["host"]] * m), pa.array([row["path"]] * m), pa.array([row["verdict"]] * m)], schema=_EVENT)
 
-    rule_rows = pick(rules, "verdict", "host", "path").dropna().distinct()
+    rule_rows = pick(rules, "verdict", "host", "path").dropna().where(~F.contains("host", F.lit("/"))).distinct()
     rule_rows = rule_rows.select("verdict", _lower(F.col("host")).alias("host"), "path").withColumn("key", _key(F.col("host")))
     schema = "part int, key string, kind int, id long, host string, path string, verdict string"
     events = keyed.mapInArrow(deal, schema).unionByName(rule_rows.mapInArrow(spread, schema))

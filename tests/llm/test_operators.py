@@ -244,7 +244,7 @@ def test_quality_limits_decide():
         ("en", "Threston&&& orer*** atnd*** ththsh$$$ is%%% thha*** andrelythha.%%%\nThe and attion to thanedble the, anea. Eriner thanea."),
         ("en", "For&&& thstrend&&& ouedst$$$ eres*** than.\nThndating.$$$\nThe and attion to thanedble the, anea. Eriner thanea."),
     ]
-    kept = [x[-1] for x in quality._judge([t for _, t in clean + junk], [x for x, _ in clean + junk], quality.model_path(), quality.BANDS)]
+    kept = [x[quality._KEPT] for x in quality._judge([t for _, t in clean + junk], [x for x, _ in clean + junk], quality.model_path(), quality.BANDS)]
     assert kept == [True] * len(clean) + [False] * len(junk)
     en = quality.BANDS["en"]
     assert en.keeps(1000, 2.2, 0.0, 0.06, 6.7 / np.log2(1000))
@@ -274,7 +274,111 @@ def test_shards_are_even(spark):
 def test_chat_tree_paths(spark):
     nodes = [("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "a </s>", 1.0), ("t", 3, 1, "assistant", r"b [\INST]", 5.0), ("t", 4, 3, "us%er\n", None, None), (None, 9, None, "user", "lost", 0.0)]
     df = spark.createDataFrame(nodes, "tree string, node long, parent long, role string, text string, score double")
-    rows = chat.format_trees(df).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans"))).orderBy("rank").collect()
-    assert [(r.leaf, r.loss) for r in rows] == [(4, r"b [\INST]"), (2, "a </s>")]
+    rows = chat.format_trees(df).withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("loss", chat.read_loss(F.col("formatted"), F.col("loss_spans"))).orderBy("rank", "leaf").collect()
+    assert [(r.tree, r.leaf, r.loss) for r in rows] == [("t", 4, r"b [\INST]"), (None, 9, ""), ("t", 2, "a </s>")]
     assert [tuple(t) for t in rows[0].turns] == [("user", "q"), ("assistant", r"b [\INST]"), ("us%er\n", "")]
-    assert chat.format_trees(df, top=1).count() == 1 and chat.format_trees(df.where("1 = 0")).count() == 0
+    assert chat.format_trees(df, top=1).count() == 2 and chat.format_trees(df.where("1 = 0")).count() == 0
+
+
+def test_neighbours_over_many_leaves_and_blocks(spark):
+    """Ties, copies and far groups; leaves too small to fill a list; queries and candidates in several blocks."""
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.normal(size=(1200, 6)) + rng.normal(size=6) * 6 for _ in range(3)] + [rng.normal(size=(5, 6)) * 0.01 + 40])
+    v[100:160] = v[100]
+    v = np.round(v, 1)
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    rows = neighbours.nearest(df, leaf=30, block=64).collect()
+    got = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append((r.vec_id, r.score))
+    s, hit = v @ v.T, 0
+    assert set(got) == set(range(0, len(v), 20))
+    for q, found in got.items():
+        assert len(found) == 20 and len(dict(found)) == 20 and q not in dict(found)
+        assert found == sorted(found, key=lambda x: (-x[1], x[0])) and all(abs(x - s[q, i]) < 1e-9 for i, x in found)
+        least = sorted((x for i, x in enumerate(s[q]) if i != q), reverse=True)[19]
+        hit += sum(x >= least - 1e-9 for _, x in found)
+    assert hit >= 0.9 * 20 * len(got)
+
+
+def test_url_hosts_with_commas(spark):
+    df = spark.createDataFrame([(1, "http://org,a/fr/x"), (2, "http://net,foo/x"), (3, "http://a,b.net/"), (4, "http://,/"), (5, "http://.net/")], "page_id long, url string")
+    rules = spark.createDataFrame([*url_rules.RULES, ("block", "a/b", "/")], "verdict string, host string, path string")
+    assert {(r.page_id, r.rule) for r in url_rules.judge_urls(df, rules).collect()} == {(1, None), (2, None), (3, "net/"), (4, None), (5, "net/")}
+
+
+def test_equal_texts_share_a_shard(spark):
+    """Groups of up to a whole shard stay together; heavier ones are cut, so that shards stay even."""
+    rows = [(k, f"doc {k} " + "x" * (k % 90)) for k in range(3000)] + [(10_000 + k, "y" * 9_000) for k in range(2)] + [(20_000 + k, "z" * 100) for k in range(2000)]
+    placed = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=8, bundles_per_shard=64).collect()
+    assert len({r.shard for r in placed if 10_000 <= r.doc_id < 20_000}) == 1
+    total = np.zeros(8)
+    for r in placed:
+        total[r.shard] += r.size
+    assert len({r.shard for r in placed if r.doc_id >= 20_000}) > 1 and total.max() - total.min() < 0.05 * total.mean()
+
+
+def test_chat_null_trees_and_cycles(spark):
+    rows = [(None, 1, "user", "q", "other"), (None, 2, "assistant", "a", "other"), (5, 1, "user", "x", "other")]
+    chains = chat.conversation_chains(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, TEXT string"))
+    got = {r.tree: len(r.turns) for r in chat.format_trees(chains).select("tree", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert got == {None: 2, 5: 1}
+    nodes = [("c", 1, 3), ("c", 2, 1), ("c", 3, 2), ("c", 4, 2), ("c", 5, 4), ("s", 1, 1), ("s", 2, 1), ("o", 1, None), ("o", 2, 1)]
+    df = spark.createDataFrame([(*n, "user", f"n{n[1]}", 1.0) for n in nodes], "tree string, node long, parent long, role string, text string, score double")
+    paths = {(r.tree, tuple(t.text for t in r.turns)) for r in chat.format_trees(df).select("tree", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert paths == {("c", ("n1",)), ("c", ("n3",)), ("c", ("n2", "n4", "n5")), ("s", ("n1", "n2")), ("o", ("n1", "n2"))}
+
+
+def test_chat_branches_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    nodes, want = [], []
+    for tree in range(12):
+        parent = [None] + [int(rng.integers(0, k)) for k in range(1, 30)]
+        score = [float(x) for x in rng.integers(0, 4, 30)]
+        nodes += [(tree, k, p, "assistant" if k % 2 else "user", f"{tree}:{k}", score[k]) for k, p in enumerate(parent)]
+        paths = []
+        for leaf in sorted(set(range(30)) - set(parent)):
+            path = [leaf]
+            while parent[path[0]] is not None:
+                path.insert(0, parent[path[0]])
+            paths.append((-sum(score[k] for k in path), leaf, [f"{tree}:{k}" for k in path]))
+        want += [(tree, leaf, at + 1, path) for at, (_, leaf, path) in enumerate(sorted(paths)[:4])]
+    df = spark.createDataFrame(nodes, "tree long, node long, parent long, role string, text string, score double")
+    rows = chat.format_trees(df, top=4).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
+    assert sorted((r.tree, r.leaf, r["rank"], [t.text for t in r.turns]) for r in rows) == sorted(want)
+
+
+def test_quality_base_counts_against_brute_force(spark):
+    """All base columns and the contract's column order, on every document of sf0.001."""
+    rows = common.table("/root/testdata/sf0.001", "documents", spark)
+    judged = quality.judge_quality(rows)
+    assert judged.columns[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    text = {r.doc_id: r.text or "" for r in rows.select("doc_id", "text").collect()}
+    for r in judged.collect():
+        t = text[r.doc_id]
+        w = WORD.findall(t)
+        seen, repeated = set(), 0
+        for line in t.split("\n"):
+            if WORD.search(line):
+                repeated += line in seen
+                seen.add(line)
+        five = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        cover = {k + j for k in range(len(w) - 4) if five[tuple(w[k : k + 5])] > 1 for j in range(5)}
+        failed = len(w) < 10 or 100 * len(cover) > 20 * len(w)
+        assert tuple(r)[1:7] == (len(w), sum(map(len, w)), sum(map(t.count, "#*$%&|<>")), repeated, len(cover), failed)
+        assert not (failed and r.kept)
+
+
+def test_packing_keeps_ids_in_order(spark):
+    """Every piece's ids lie where its start says; the digest columns of the query follow."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.vocabulary_path())
+    rows = common.table("/root/testdata/sf0.001", "documents", spark)
+    want = {r.doc_id: [*tok.encode(r.text or "", add_special_tokens=False).ids, 1] for r in rows.select("doc_id", "text").collect()}
+    seen = Counter()
+    for r in packing.pack(rows).collect():
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert ids == want[r.doc_id][r.start : r.start + r.length] and r.doc_tokens == len(want[r.doc_id])
+        seen[r.doc_id] += r.length
+    assert seen == {i: len(x) for i, x in want.items()}
