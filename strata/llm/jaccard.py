@@ -18,7 +18,7 @@ nothing.
 
 Buckets are not expanded into pairs.  Round by round each set is compared with
 one other of its buckets that is not yet in its component, most shared buckets
-first; when a round joins little more, all that is left is compared.
+first; once most of a round's comparisons fail, all that is left is compared.
 
 Before sets are compared, their parity sketches are: each shingle flips one of
 512 bits, so two sketches differ in no more bits than the sets do in shingles,
@@ -43,7 +43,6 @@ PERCENT = 80
 SHINGLE = 5
 GROWTH = 1.6  # a band's largest size over its smallest
 MOST = 100_000  # sets of a bucket held at once; larger ones all count as this large
-ROUNDS = 12
 WORDS = 8  # 64-bit words of a sketch
 _SKETCH = [f"w{i}" for i in range(WORDS)]
 
@@ -356,34 +355,48 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     return out.select(F.col("doc").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"), F.coalesce("least", "doc").alias("component_id"))
 
 
+def _open_buckets(buckets: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+    """Bucket rows with their node's size and sketch; of buckets with the same members one stands for all (``times``).
+
+    ``hub`` is how many bucket neighbours a node has in all."""
+    kinds = buckets.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
+    chosen = kinds.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("times"))
+    rows = buckets.join(chosen.select("sig", "n", "times"), "sig")
+    rows = rows.withColumn("hub", F.sum(F.col("times") * F.col("n")).over(Window.partitionBy("node"))).drop("n")
+    return store.put(rows.join(sets.select("node", "size", *_SKETCH).dropDuplicates(["node"]), "node"), "sketched")
+
+
 def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store, percent: int, size: int) -> DataFrame:
-    """(node, root): components of the links among bucket neighbours, and of nodes that share a document id."""
+    """(node, root): components of the links among bucket neighbours, and of nodes that share a document id.
+
+    In a round each bucket has a lead, in turn the node with the most
+    neighbours (the original among its near copies) and any; nodes of other
+    components are compared with the leads they share most buckets with.  Once
+    most of a round's comparisons fail, components are made whole and all pairs
+    of a bucket that lie in two of them, and may link, are compared."""
     sets = _texts(docs, buckets.select("node").distinct(), members, store, size)
     known = ["size", *_SKETCH]
-    buckets = store.put(buckets.join(sets.select("node", *known).dropDuplicates(["node"]), "node"), "sketched")
+    buckets = _open_buckets(buckets, sets, store)
     twice = members.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
     links = store.put(members.join(twice, "doc").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "links")
     root = components(links, store)
     forest = root.select(F.col("node").alias("u"), F.col("root").alias("v"))
     tried = docs.sparkSession.createDataFrame([], "a long, b long")
-    last = few = False
-    for step in range(ROUNDS + 1):
-        labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"), *known)
-        draw = F.xxhash64("node", F.lit(step))
-        spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root", *known), draw).alias("lead"), F.count("*").alias("n")).where("r0 < r1")
-        spread = store.put(spread.select("sig", "lead", "n"), "spread")
-        work = spread.agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.sum("n").alias("rows")).first()
-        if not work.rows:
+    last, step = False, 0
+    while True:
+        labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"), "times", "hub", *known)
+        draw = F.struct(F.lit(0) if step % 2 else -F.col("hub"), F.xxhash64("node", F.lit(step)))
+        spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root", *known), draw).alias("lead")).where("r0 < r1")
+        spread = store.put(spread.select("sig", "lead"), "spread")
+        if spread.isEmpty():
             break
-        # what is left is compared in full when a round joins nothing, or as soon as that is little work, or not much (mostly looks at sketches) and rounds join few
-        last = last or step == ROUNDS or work.pairs <= (512 if few else 4) * work.rows
         open_ = labelled.join(spread, "sig")
         if last:
             x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in known)) for n in "ab")
             pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
             pairs = pairs.select(F.greatest("ra", "rb").alias("u"), F.least("ra", "rb").alias("v"), "a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         else:
-            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.count("*").alias("n"), F.min(F.greatest("root", "lead.root")).alias("u"), F.min(F.least("root", "lead.root")).alias("v"))
+            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.sum("times").alias("n"), F.min(F.greatest("root", "lead.root")).alias("u"), F.min(F.least("root", "lead.root")).alias("v"))
             near = near.join(tried, ["a", "b"], "left_anti")
             pairs = near.groupBy("node").agg(F.max_by(F.struct("u", "v", "a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.u", "p.v", "p.a", "p.b").distinct()
         pairs = store.put(pairs, "pairs")
@@ -394,8 +407,10 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
             forest = store.put(_star_step(forest.union(checked.where("linked").select("u", "v"))), "forest")
         if last:
             break
-        if count.linked:
-            root = store.put(_labels(forest), "root")
+        last, step = 2 * count.linked <= count.n, step + 1
         tried = store.put(tried.union(checked.select("a", "b")), "tried")
-        last, few = not count.linked, 1000 * count.linked < work.rows
+        if last:
+            root = components(forest.select(F.col("u").alias("a"), F.col("v").alias("b")), store)
+        elif count.linked:
+            root = store.put(_labels(forest), "root")
     return components(forest.select(F.col("u").alias("a"), F.col("v").alias("b")), store)
