@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep; null and empty texts go, null and repeated ids are judged row by row."""
     return quality.keep_clean(docs)
 
 
@@ -27,18 +27,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near duplicates the document with the least id; rows that repeat an id stand or fall together, null ids stay."""
     found = jaccard.near_duplicates(docs)
     gone = found.where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    names = docs.columns  # by position, as names may clash but for case
+    flat = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    return flat.join(gone, flat[f"_{names.index('doc_id')}"] == gone["doc_id"], "left_anti").toDF(*names)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier one has; ``n_chars`` follows the text."""
+    """Documents without the passages that an earlier one has; ``n_chars``, where there is one, follows the text.
+
+    Null texts become empty; null ids keep their text and shorten none."""
+    names, kinds = docs.columns, docs.schema.fields
     stripped = substrings.strip_repeats(docs)
-    changed = stripped.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    flat = stripped.toDF(*[f"_{i}" for i in range(len(names))], "n_words", "n_removed")
+    out = [F.col(f"_{i}") for i in range(len(names))]
+    if "n_chars" in names:
+        at = names.index("n_chars")
+        out[at] = F.when(F.col("n_removed") > 0, F.length(out[names.index("text")]).cast(kinds[at].dataType)).otherwise(out[at])
+    return flat.select(*out).toDF(*names)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes; see ``packing.pack``."""
+    """Where each piece of each document goes; see ``packing.pack``.  Null and empty texts are their end id alone; null and repeated ids are documents each."""
     packed = packing.pack(docs)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
