@@ -12,13 +12,14 @@ class is absent (MLlib returns 1.0 there).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import safe_ratio, rnd
-from strata.operators.ranking import running_totals
 from strata.plans.physical import join_groups
 
 METRICS = ["accuracy", "f1", "weighted_precision", "weighted_recall"]
@@ -98,26 +99,69 @@ def auc_roc(
 ) -> DataFrame:
     """Exact area under ROC per group: P(score+ > score-) + ½ P(score+ = score-).
 
-    Rows are first counted per (group, score); the negatives below each score
-    come from range-partitioned running totals, so neither a hot group nor a
-    continuous score lands in a single task.
+    Rows are first counted per (group, score) and dealt to score ranges, so
+    neither a hot group nor a continuous score lands in a single task.  Each
+    range is passed once in order, giving its own credit, positives and
+    negatives per group; a positive of a later range beats all negatives of the
+    earlier ones, which a running sum over the ranges tells.
     """
     by = list(by)
     y = F.col(label).cast("int") == F.lit(positive)
     g = df.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
         F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")
     )
-    rt = running_totals(g, by, "_s", ["neg"], slices).rows
-    credit = F.col("pos").cast("double") * ((F.col("cum_neg") - F.col("neg")).cast("double") + F.col("neg").cast("double") / 2.0)
-    out = rt.groupBy(*by).agg(
-        F.sum(credit).alias("_c"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
-    )
+    keys = [*by, "_s"]
+    ranged = (g.repartitionByRange(int(slices), *keys) if slices else g.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    local = ranged.select(F.spark_partition_id().alias("_slice"), *by, "pos", "neg")
+    kinds = ", ".join([f"_slice int, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in g.select(*by).schema.fields)}".rstrip(", "), "_credit double, pos long, neg long"])
+    ranks = local.mapInArrow(_range_credit, kinds)
+    # at most ranges + groups rows
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranks.withColumn("_below", F.coalesce(F.sum("neg").over(before), F.lit(0)))
+    credit = F.col("_credit") + F.col("pos").cast("double") * F.col("_below").cast("double")
+    out = parts.groupBy(*by).agg(F.sum(credit).alias("_c"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     auc = safe_ratio(F.col("_c"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))
     if digits is not None:
         auc = rnd(auc, digits)
     return out.select(*by, auc.alias("auc"), "n_pos", "n_neg")
 
 
+def _range_credit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slice, group..., credit, positives, negatives) of rows sorted by group and score; a group's tallies are carried from batch to batch."""
+    held = None  # [key, credit, pos, neg] of the last group
+    for batch in batches:
+        n, width = batch.num_rows, batch.num_columns - 2
+        if not n:
+            continue
+        names, kinds = batch.schema.names[:width], [f.type for f in batch.schema][:width]
+        new = np.zeros(n, bool)
+        for column in batch.columns[:width]:
+            code = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            new[1:] |= code[1:] != code[:-1]
+        start = np.flatnonzero(np.concatenate(([True], new[1:])))
+        pos, neg = (batch.column(width + k).to_numpy().astype(float) for k in range(2))
+        below = np.cumsum(neg) - neg
+        below -= np.repeat(below[start], np.diff(np.append(start, n)))
+        sums = [np.add.reduceat(x, start).tolist() for x in (pos * (below + neg / 2), pos, neg)]
+        at = [tuple(c[int(i)].as_py() for c in batch.columns[:width]) for i in start]
+        done = []
+        for key, c, p, q in zip(at, *sums):
+            if held and all(x == y or (x != x and y != y) for x, y in zip(held[0], key)):
+                held = [key, held[1] + c + p * held[3], held[2] + p, held[3] + q]
+            else:
+                done += [held] if held else []
+                held = [key, c, p, q]
+        yield _credit_rows(done, names, kinds)
+    if held:
+        yield _credit_rows([held], names, kinds)
+
+
+def _credit_rows(rows: list, names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    keys = [pa.array([r[0][k] for r in rows], t) for k, t in enumerate(kinds)]
+    tallies = [pa.array([r[1] for r in rows], pa.float64()), *(pa.array([int(r[k]) for r in rows], pa.int64()) for k in (2, 3))]
+    return pa.RecordBatch.from_arrays([*keys, *tallies], names=[*names, "_credit", "pos", "neg"])
+
+
 def evaluate(df: DataFrame, label: str, pred: str, score: str | None = None, by: Sequence[str] = (), digits: int | None = 6) -> DataFrame:
     """Classification metrics plus AUC (when a score is given), one row per group."""
     m = classification_metrics(df, label, pred, by, digits)

@@ -19,12 +19,13 @@ from strata.plans.physical import join_groups, materialize
 
 
 class Running:
-    """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, and the stored input (with ``_slice``)."""
+    """Result of ``running_totals``: rows with ``cum_<w>``, per-group totals, the stored input (with ``_slice``) and its slices."""
 
-    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame):
+    def __init__(self, rows: DataFrame, totals: DataFrame, stored: DataFrame, slices: DataFrame):
         self.rows = rows
         self.totals = totals
         self.stored = stored
+        self.slices = slices
 
 
 def running_totals(
@@ -39,6 +40,9 @@ def running_totals(
     ``df`` must be unique on (group_cols, order_col) — aggregate first.  The
     range-partitioned rows are stored once with their slice id, so the slice
     totals and the local sums always agree, also after executor loss.
+    ``slices`` has, per (slice, group), the totals ``_t_<w>``, the totals of the
+    group's earlier slices ``_o_<w>`` and the least and greatest key
+    (``_low``, ``_high``); it holds at most slices + groups - 1 rows.
     """
     groups = list(group_cols)
     # Range bounds are sampled from ``df``; an aggregated input is re-read from its
@@ -48,24 +52,25 @@ def running_totals(
     ranged = df.repartitionByRange(int(slices), *keys) if slices else df.repartitionByRange(*keys)
     ranged = ranged.withColumn("_slice", F.spark_partition_id())
     stored = materialize(ranged, "ranked")
-    totals = stored.groupBy("_slice", *groups).agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
-    # (slice, group) pairs: at most slices + groups - 1
-    before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_slice",
-        *groups,
-        *[F.coalesce(F.sum(f"_t_{w}").over(before), F.lit(0)).alias(f"_o_{w}") for w in weight_cols],
-    )
-    inside = Window.partitionBy("_slice", *groups).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    totals = stored.groupBy("_slice", *groups).agg(
+        *[F.sum(w).alias(f"_t_{w}") for w in weight_cols], F.min(order_col).alias("_low"), F.max(order_col).alias("_high")
     )
-    local = stored.select("*", *[F.sum(w).over(inside).alias(f"_r_{w}") for w in weight_cols])
-    joined = join_groups(local, offsets, ["_slice", *groups])
-    rows = joined.select(
-        *df.columns, *[(F.col(f"_o_{w}") + F.col(f"_r_{w}")).alias(f"cum_{w}") for w in weight_cols]
+    before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # a written table has a known size, so the joins with it below are broadcast only if it is small
+    parts = materialize(
+        totals.select("*", *[F.coalesce(F.sum(f"_t_{w}").over(before), F.lit(0)).alias(f"_o_{w}") for w in weight_cols]), "slices"
     )
-    group_totals = totals.groupBy(*groups).agg(*[F.sum(f"_t_{w}").alias(f"total_{w}") for w in weight_cols])
-    return Running(rows, group_totals, stored)
+    offsets = parts.select("_slice", *groups, *[f"_o_{w}" for w in weight_cols])
+    rows = _accumulate(stored, offsets, groups, order_col, weight_cols).select(*df.columns, *[f"cum_{w}" for w in weight_cols])
+    group_totals = parts.groupBy(*groups).agg(*[F.sum(f"_t_{w}").alias(f"total_{w}") for w in weight_cols])
+    return Running(rows, group_totals, stored, parts)
+
+
+def _accumulate(stored: DataFrame, offsets: DataFrame, groups: Sequence[str], order_col: str, weight_cols: Sequence[str]) -> DataFrame:
+    """Rows of the slices named in ``offsets``, with ``cum_<w>``; other slices are dropped before anything is sorted."""
+    inside = Window.partitionBy("_slice", *groups).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wanted = join_groups(stored, offsets, ["_slice", *groups])
+    return wanted.select("*", *[(F.col(f"_o_{w}") + F.sum(w).over(inside)).alias(f"cum_{w}") for w in weight_cols])
 
 
 def value_counts(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
@@ -95,9 +100,12 @@ def quantiles_from_counts(
     ).withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
     target = target.withColumn("lo", F.floor("pos").cast("bigint")).withColumn("hi", F.ceil("pos").cast("bigint"))
     ranks = target.groupBy(*groups).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_ranks"))
+    # the slices that hold a wanted rank, at most 2 * len(probs) per group, told by the slice totals alone
+    held = F.exists("_ranks", lambda r: (F.col("_o__c") <= r) & (r < F.col("_o__c") + F.col("_t__c")))
+    wanted_slices = materialize(join_groups(run.slices, ranks, groups).filter(held).select("_slice", *groups, "_o__c", "_ranks"), "wanted")
     # rows whose rank interval [cum - c, cum) holds a wanted rank: at most 2 * len(probs) per group
     covering = (
-        join_groups(run.rows, ranks, groups)
+        _accumulate(run.stored, wanted_slices, groups, value_col, ["_c"])
         .filter(F.exists("_ranks", lambda r: (F.col("cum__c") - F.col("_c") <= r) & (r < F.col("cum__c"))))
         .select(*groups, value_col, (F.col("cum__c") - F.col("_c")).alias("_from"), F.col("cum__c").alias("_to"))
     )
@@ -130,9 +138,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Continuous quantiles per group: (group..., p, n, q); nulls skipped.
 
-    One aggregation to (group, value, count), one stored range-partitioned
-    running sum, then a filter that keeps at most two rows per (group, p).
-    No group is ever gathered into a single task.
+    One aggregation to (group, value, count), stored in ranges; the ranges'
+    totals tell which of them hold a wanted rank, and only those rows are
+    sorted and summed.  No group is ever gathered into a single task.
     """
     counts = value_counts(df, group_cols, value_col)
     return quantiles_from_counts(counts, group_cols, value_col, probs, slices)[0]

@@ -5,9 +5,10 @@
 * histogram: per (feature, class) bounds in one aggregation, then bins in a
   second aggregation with the bounds broadcast (size-checked); empty bins
   are emitted with count 0.
-* box statistics: exact quartiles by range-partitioned running sums (or
-  ``percentile_approx`` with a bounded sketch), then whiskers and outliers in
-  one more aggregation.
+* box statistics: exact quartiles from range slices, of which only those that
+  hold a wanted rank are sorted (or ``percentile_approx`` with a bounded
+  sketch); whiskers and outlier counts from the slices' ends and totals, and
+  the rows of slices that a fence cuts.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import as_double, rnd
 from strata.operators.profile import feature_long
-from strata.operators.ranking import quantiles_from_counts, value_counts
-from strata.plans.physical import join_groups
+from strata.operators.ranking import Running, quantiles_from_counts, value_counts
+from strata.plans.physical import join_groups, materialize
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
@@ -142,7 +143,6 @@ def box_stats(
     if method == "exact":
         # (feature, class, value, count): far smaller than the rows when values repeat
         q, run = quantiles_from_counts(value_counts(long, keys, "value"), keys, "value", [0.25, 0.5, 0.75])
-        counts = run.stored
         quart = q.groupBy(*keys).agg(
             F.first("n").alias("n"),
             F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
@@ -151,7 +151,7 @@ def box_stats(
         )
     elif method == "approx":
         pa = F.percentile_approx("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-        counts = long.withColumn("_c", F.lit(1))
+        run = None
         quart = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), pa.alias("_q")).select(
             *keys, "n", F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("median"), F.col("_q")[2].cast("double").alias("q3")
         )
@@ -168,16 +168,8 @@ def box_stats(
         (F.col("q1") - F.lit(whisker) * iqr).alias("lo_fence"),
         (F.col("q3") + F.lit(whisker) * iqr).alias("hi_fence"),
     )
-    v, c = F.col("value"), F.col("_c")
-    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     edges = fences.select(*keys, "lo_fence", "hi_fence")
-    joined = join_groups(counts, edges, keys)
-    tails = joined.groupBy(*keys).agg(
-        F.min(F.when(inside, v)).alias("whisker_lo"),
-        F.max(F.when(inside, v)).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when(v < F.col("lo_fence"), c)), F.lit(0)).cast("bigint").alias("n_low"),
-        F.coalesce(F.sum(F.when(v > F.col("hi_fence"), c)), F.lit(0)).cast("bigint").alias("n_high"),
-    )
+    tails = _tails(long.withColumn("_c", F.lit(1)), edges, keys) if run is None else _sliced_tails(run, materialize(edges, "fences"), keys)
     # both sides hold one row per (feature, class)
     out = join_groups(tails, fences, keys).withColumn(
         "n_outliers", F.col("n_low") + F.col("n_high")
@@ -189,6 +181,38 @@ def box_stats(
     return out.select(*keys, "n", *dbl, "n_low", "n_high", "n_outliers")
 
 
+_TAILS = ("whisker_lo", F.min), ("whisker_hi", F.max), ("n_low", F.sum), ("n_high", F.sum)
+
+
+def _tails(counts: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys..., whisker_lo, whisker_hi, n_low, n_high) of (keys..., value, _c) rows."""
+    v, c = F.col("value"), F.col("_c")
+    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
+    return join_groups(counts, edges, keys).groupBy(*keys).agg(
+        F.min(F.when(inside, v)).alias("whisker_lo"),
+        F.max(F.when(inside, v)).alias("whisker_hi"),
+        F.coalesce(F.sum(F.when(v < F.col("lo_fence"), c)), F.lit(0)).cast("bigint").alias("n_low"),
+        F.coalesce(F.sum(F.when(v > F.col("hi_fence"), c)), F.lit(0)).cast("bigint").alias("n_high"),
+    )
+
+
+def _sliced_tails(run: Running, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same, reading only rows of slices that a fence cuts; the others are judged by their totals and ends."""
+    lo, hi, low, high, t = (F.col(c) for c in ("lo_fence", "hi_fence", "_low", "_high", "_t__c"))
+    judged = join_groups(run.slices, edges, keys)
+    cut = (low <= hi) & (high >= lo) & ((low < lo) | (high > hi))
+    inside = (low >= lo) & (high <= hi)
+    whole = judged.filter(~cut).select(
+        *keys,
+        F.when(inside, low).alias("whisker_lo"),
+        F.when(inside, high).alias("whisker_hi"),
+        F.when(high < lo, t).otherwise(0).cast("bigint").alias("n_low"),
+        F.when(low > hi, t).otherwise(0).cast("bigint").alias("n_high"),
+    )
+    rows = join_groups(run.stored, materialize(judged.filter(cut).select("_slice", *keys), "cut"), ["_slice", *keys]).drop("_slice")
+    return whole.unionByName(_tails(rows, edges, keys)).groupBy(*keys).agg(*[f(c).alias(c) for c, f in _TAILS])
+
+
 def outlier_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), whisker: float = 1.5, method: str = "exact") -> DataFrame:
     """Long (by..., feature, value) rows lying outside their group's fences."""
     keys = ["feature", *by]

@@ -36,3 +36,31 @@ def test_hot_group_results_exact(spark):
     auc = {r["model"]: r["auc"] for r in E.auc_roc(pred, "label", "score", ["model"], slices=12).collect()}
     assert auc["big"] == 1.0 and auc["small"] == 1.0
 
+
+
+def test_auc_of_hot_null_and_nan_groups_over_many_batches(spark):
+    rng = np.random.default_rng(3)
+    groups = [None, float("nan"), 1.5]
+    rows = [(groups[int(g)], int(rng.integers(0, 2)), float(np.round(s, 2))) for g, s in zip(rng.choice(3, 4000, p=[0.8, 0.15, 0.05]), rng.normal(size=4000))]
+    df = spark.createDataFrame(rows, "g double, label int, score double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = {str(r["g"]): r for r in E.auc_roc(df, "label", "score", ["g"], digits=None, slices=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 3
+    for g in groups:
+        mine = [(y, s) for k, y, s in rows if str(k) == str(g)]
+        pos, neg = (np.array([s for y, s in mine if y == k]) for k in (1, 0))
+        want = ((pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2) / (len(pos) * len(neg))
+        assert got[str(g)]["auc"] == pytest.approx(want) and (got[str(g)]["n_pos"], got[str(g)]["n_neg"]) == (len(pos), len(neg))
+
+
+def test_quantile_plan_sorts_pruned_rows_only(spark):
+    """After the range partition the stored rows meet a broadcast list of wanted slices before any exchange."""
+    df, _ = hot_frame(spark)
+    plan = exact_quantiles(df, ["g"], "v", [0.5], slices=12)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "ranked" in line]
+    window = plan[plan.index("Window") :]
+    assert scans and window.index("BroadcastHashJoin") < window.index("FileScan")
+    assert "SortMergeJoin" not in window[: window.index("FileScan")]
