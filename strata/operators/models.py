@@ -156,6 +156,21 @@ def importances(model: PipelineModel, cols: Sequence[str], name: str = "model")
     return rank_desc(frame, "importance", "feature", by=["model"])
 
 
+def root_split(model: PipelineModel) -> dict[str, float]:
+    """The first split of a fitted tree, or of an ensemble's first tree: feature index, threshold, gain, and what each side predicts."""
+    last = model.stages[-1]
+    root = (last.trees[0] if hasattr(last, "trees") else last)._call_java("rootNode")
+    sides = {"left": root.leftChild().prediction(), "right": root.rightChild().prediction()}
+    return {"feature": float(root.split().featureIndex()), "threshold": root.split().threshold(), "gain": root.gain(), **sides}
+
+
+def prediction_contract(preds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(model, keys..., label, consistent): whether a row's class is 0 or 1 and follows from its score, and its probabilities sum to one."""
+    by_score = F.when(F.col("p1").isNotNull(), F.col("score") > 0.5).otherwise(F.col("score") > 0.0).cast("int")
+    sums = F.col("p1").isNull() | (F.abs(F.col("p1") + F.col("p0") - 1.0) < 1e-9)
+    return preds.select("model", *keys, "label", ((F.col("prediction") == by_score) & sums).alias("consistent"))
+
+
 def rank_desc(df: DataFrame, value: str, name: str, by: Sequence[str] = (), rank_col: str = "rank") -> DataFrame:
     """1-based rank by ``value`` descending, ties by ``name`` (for small frames: features, models)."""
     w = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last(), F.col(name).asc())
@@ -183,8 +198,10 @@ __all__ = [
     "classifier",
     "fit_all",
     "importances",
+    "prediction_contract",
     "predictions_long",
     "rank_desc",
+    "root_split",
     "scored",
     "uncertainty_flag",
 ]

@@ -937,11 +937,83 @@ for _kind in ("rf", "dt", "lr", "gbt", "svc"):
     QUERIES[f"{_kind}_predictions"] = _model_query(_kind)
 
 
+_SMALL = {"rf": {"numTrees": 8, "maxDepth": 4, "seed": 42}, "dt": {"maxDepth": 4, "seed": 42}, "lr": {"maxIter": 10}, "gbt": {"maxIter": 3, "maxDepth": 3, "seed": 42}, "svc": {"maxIter": 10}}
+_CONTRACT_MODELS = ["Random Forest", "Decision Tree", "Logistic Regression", "Gradient Boosting", "Linear SVM", "Notebook Forest"]
+
+
+@query(
+    "model_contract",
+    f"{W}, s AS (SELECT *, {_SPLIT_SQL} AS split FROM r), m(model) AS (VALUES "
+    + ", ".join(f"('{m}')" for m in _CONTRACT_MODELS)
+    + ")\nSELECT model, l_orderkey, l_linenumber, l_partkey, l_suppkey, y AS label, TRUE AS consistent FROM s, m WHERE split = 'test'",
+)
+def q_model_contract(spark, sf):
+    """Every test row scored by each of six fitted models, with its label, a class that follows from the score, and probabilities that sum to one.
+
+    The contract doesn't hang on a model's size: the notebook's forest has its own settings, the others are small."""
+    from strata.operators.models import NOTEBOOK_FOREST, prediction_contract
+    from strata.plans.gold import model_predictions, run_models
+
+    inputs = _model_inputs(spark, sf)
+    run = run_models(inputs, FEATURES, IMPUTED, LABEL, KEYS, kinds=("rf", "dt", "lr", "gbt", "svc"), params=_SMALL)
+    notebook = model_predictions(inputs, "rf", FEATURES, IMPUTED, LABEL, KEYS, params=NOTEBOOK_FOREST).withColumn("model", F.lit("Notebook Forest"))
+    return prediction_contract(run.preds.unionByName(notebook), KEYS)
+
+
+_WHOLE = "qty IS NOT NULL AND price IS NOT NULL AND tax IS NOT NULL"
+_STUMP_FEATURES = ["qty", "tax", "disc"]
+_GINI = "(1 - power({a} / ({a} + {b}), 2) - power({b} / ({a} + {b}), 2))"
+_STUMP_SQL = (
+    f"{W}, t AS (SELECT * FROM r WHERE {_WHOLE}),\nv AS ("
+    + _u(f"SELECT {i} AS f, {c}::DOUBLE AS x, COUNT(*) FILTER (WHERE y = 0)::DOUBLE AS n0, COUNT(*) FILTER (WHERE y = 1)::DOUBLE AS n1 FROM t GROUP BY {c}" for i, c in enumerate(_STUMP_FEATURES))
+    + "),\nc AS (SELECT f, (x + LEAD(x) OVER w) / 2 AS threshold, SUM(n0) OVER w AS l0, SUM(n1) OVER w AS l1, "
+    "SUM(n0) OVER (PARTITION BY f) AS a0, SUM(n1) OVER (PARTITION BY f) AS a1 FROM v WINDOW w AS (PARTITION BY f ORDER BY x)),\n"
+    "d AS (SELECT *, a0 - l0 AS r0, a1 - l1 AS r1 FROM c WHERE threshold IS NOT NULL),\n"
+    f"g AS (SELECT *, {_GINI.format(a='a0', b='a1')} - (l0 + l1) / (a0 + a1) * {_GINI.format(a='l0', b='l1')} - (r0 + r1) / (a0 + a1) * {_GINI.format(a='r0', b='r1')} AS gain FROM d),\n"
+    "best AS (SELECT * FROM g ORDER BY round(gain, 12) DESC, f, threshold LIMIT 1),\n"
+    f"o AS (SELECT CASE WHEN qty > 25 THEN 1 ELSE 0 END AS x, COUNT(*) FILTER (WHERE y = 0)::DOUBLE AS n0, COUNT(*) FILTER (WHERE y = 1)::DOUBLE AS n1 FROM t GROUP BY 1)\n"
+)
+
+
+def _stump_rows(model: str, scale: int, left: str, right: str) -> list[str]:
+    values = [("feature", "f"), ("threshold", "threshold"), ("gain", f"{scale} * gain"), ("left", left), ("right", right)]
+    return [f"SELECT '{model}' AS model, '{k}' AS quantity, round({e}, 6) + 0.0 AS value FROM best" for k, e in values]
+
+
+_VOTE = "CASE WHEN {s}1 > {s}0 THEN 1.0 ELSE 0.0 END"
+_MEAN = "({s}1 - {s}0) / ({s}0 + {s}1)"
+
+
+@query(
+    "exact_fits",
+    _STUMP_SQL
+    + _u(
+        [
+            *_stump_rows("Decision Tree", 1, _VOTE.format(s="l"), _VOTE.format(s="r")),
+            "SELECT 'Decision Tree' AS model, 'importance' AS quantity, 1.0::DOUBLE AS value",
+            *_stump_rows("Random Forest", 1, _VOTE.format(s="l"), _VOTE.format(s="r")),
+            *_stump_rows("Gradient Boosting", 2, _MEAN.format(s="l"), _MEAN.format(s="r")),
+            "SELECT 'Logistic Regression' AS model, 'intercept' AS quantity, round(ln(n1 / n0), 4) + 0.0 AS value FROM o WHERE x = 0",
+            "SELECT 'Logistic Regression' AS model, 'coefficient' AS quantity, round(ln(b.n1 / b.n0) - ln(a.n1 / a.n0), 4) + 0.0 AS value FROM o a, o b WHERE a.x = 0 AND b.x = 1",
+            "SELECT 'Linear Regression' AS model, 'slope' AS quantity, round(regr_slope(price, qty), 4) + 0.0 AS value FROM t",
+            "SELECT 'Linear Regression' AS model, 'intercept' AS quantity, round(regr_intercept(price, qty), 4) + 0.0 AS value FROM t",
+            "SELECT 'Linear Regression' AS model, 'r2' AS quantity, round(regr_r2(price, qty), 4) + 0.0 AS value FROM t",
+        ]
+    ),
+)
+def q_exact_fits(spark, sf):
+    """Fits with a closed form: one split of a tree, a forest and a boosted ensemble, a logistic fit on a two-valued feature, least squares."""
+    from strata.plans.gold import exact_fits
+
+    whole = readings(spark, sf).where(_WHOLE)
+    return exact_fits(whole, _STUMP_FEATURES, LABEL, KEYS, (F.col("qty") > 25).cast("double"), "qty", "price")
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     from strata.plans.gold import feature_importance
 
-    return feature_importance(_model_inputs(spark, sf), "dt", FEATURES, IMPUTED, LABEL)
+    return feature_importance(_model_inputs(spark, sf), "dt", FEATURES, IMPUTED, LABEL, KEYS)
 
 
 @query("model_comparison")
@@ -954,9 +1026,12 @@ def q_model_comparison(spark, sf):
 @query("gold_report")
 def q_gold_report(spark, sf):
     from strata.plans.gold import gold_report, run_models
+    from strata.plans.physical import materialize
 
     run = run_models(_model_inputs(spark, sf), FEATURES, IMPUTED, LABEL, KEYS)
-    return gold_report(run, FEATURES)
+    out = materialize(gold_report(run, FEATURES), "gold")
+    run.release()
+    return out
 
 
 @query("cross_validation")
@@ -990,11 +1065,11 @@ def q_stream_model_scoring(spark, sf):
     """A decision-tree pipeline fitted on the training rows scores lineitem as a file stream."""
     from strata.operators.models import build_pipeline
     from strata.operators.models import MODEL_PARAMS
-    from strata.plans.gold import _split
+    from strata.plans.gold import fixed_layout
     from strata.plans.readings import readings_of
     from strata.streaming.scoring import score_model_files
 
-    train, _ = _split(_model_inputs(spark, sf))
+    train = fixed_layout(_model_inputs(spark, sf), KEYS).filter("split = 'train'")
     model = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS["dt"]).fit(train)
     return score_model_files(
         spark, model, f"{sf.rstrip('/')}/lineitem.parquet", _scratch(spark, "stream-model"), prepare=readings_of, keep=[*KEYS, LABEL]

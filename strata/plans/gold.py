@@ -7,34 +7,39 @@ fit and every metric.  Parameters default to the reference's settings.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil, sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 
+from strata.functions.columns import rnd
 from strata.operators import evaluate as E
 from strata.operators.features import scaler_stage
-from strata.operators.models import MODEL_NAMES, MODEL_PARAMS, build_pipeline, classifier, fit_all, importances, predictions_long
+from strata.operators.models import MODEL_NAMES, MODEL_PARAMS, build_pipeline, classifier, fit_all, importances, predictions_long, root_split
+from strata.plans.physical import materialize
 
-# Partitions of the rows that models are fitted on.  A forest's bagging draws by
-# partition, so the layout must come from the data and this number alone.
-FIT_PARTITIONS = 32
 
 
-def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The same rows in the same order in the same partitions, on any cluster."""
-    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
+def fixed_layout(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The same rows in the same order in the same partitions, on any cluster and from any input layout.
 
-
-def _split(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame]:
-    """(train, test) as filters of one cached, spread-out input (read once, used by every fit)."""
-    return _split_base(df, split_col)[1:]
+    A forest's bagging draws by partition and row, and takes no weights per
+    tree, so its layout is made a function of the data: rows are dealt by the
+    hash of their ``keys`` (default: all columns) and sorted.  Their number
+    alone sets that of the partitions, by a square root: 600,000 rows make 33
+    partitions, 10^12 rows 41,667 of 24 million.
+    """
+    rest = [c for c in df.columns if c not in set(keys)]
+    partitions = max(1, ceil(sqrt(df.count()) / 24))
+    return df.repartition(partitions, *(keys or df.columns)).sortWithinPartitions(*keys, *rest)
 
 
-def _split_base(df: DataFrame, split_col: str = "split") -> tuple[DataFrame, DataFrame, DataFrame]:
-    base = fixed_layout(df).persist()
+def _split_base(df: DataFrame, keys: Sequence[str] = (), split_col: str = "split") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(base, train, test): two filters of one cached, spread-out input (read once, used by every fit)."""
+    base = fixed_layout(df, keys).persist()
     return base, base.filter(F.col(split_col) == "train"), base.filter(F.col(split_col) == "test")
 
 
@@ -68,15 +73,15 @@ def model_predictions(
     params: Mapping | None = None,
 ) -> DataFrame:
     """Fit one pipeline on the train rows, return its long predictions on the test rows."""
-    base, train, test = _split_base(df)
+    base, train, test = _split_base(df, keys)
     pipe = build_pipeline(kind, features, label, impute=impute, **(params or MODEL_PARAMS[kind]))
     model = pipe.fit(train)
     base.unpersist()  # the returned predictions are a narrow map; they re-read the input if needed
     return predictions_long({MODEL_NAMES[kind]: model}, test, keys, label)
 
 
-def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str) -> DataFrame:
-    base, train, _ = _split_base(df)
+def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str, keys: Sequence[str] = ()) -> DataFrame:
+    base, train, _ = _split_base(df, keys)
     model = build_pipeline(kind, features, label, impute=impute, **MODEL_PARAMS[kind]).fit(train)
     base.unpersist()
     return importances(model, features, MODEL_NAMES[kind])
@@ -93,6 +98,11 @@ class GoldRun:
         self.train_rows = train_rows
         self.test_rows = test_rows
 
+    def release(self) -> None:
+        """Drop the cached vectors and predictions; what was computed from them must be stored by then."""
+        for df in (self.preds, self.train_rows, self.test_rows):
+            df.unpersist()
+
 
 def run_models(
     df: DataFrame,
@@ -103,7 +113,7 @@ def run_models(
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
 ) -> GoldRun:
-    base, train, test = _split_base(df)
+    base, train, test = _split_base(df, keys)
     # fit imputation and scaling once; every classifier trains on the same cached vectors
     prep = preprocessing(features, impute).fit(train)
     train_v, test_v = _vectors(prep, [train, test], [*keys, label, "features"])
@@ -177,8 +187,9 @@ def model_comparison(
     run = run_models(df, features, impute, label, keys, kinds, params)
     spark = df.sparkSession
     secs = spark.createDataFrame([(n, float(v)) for n, v in run.fit_seconds.items()], "model string, fit_seconds double")
-    out = run.metrics.join(secs, "model", "left")
-    return E.mark_best(out, "accuracy", "model")
+    out = materialize(E.mark_best(run.metrics.join(secs, "model", "left"), "accuracy", "model"), "comparison")
+    run.release()
+    return out
 
 
 def cross_validate(
@@ -199,17 +210,18 @@ def cross_validate(
 
     from strata.operators.features import fold_column
 
-    base, train, _ = _split_base(df)
+    base, train, _ = _split_base(df, keys)
     prep = preprocessing(features, impute).fit(train)
     (data,) = _vectors(prep, [train], [label, "features", fold_column(keys, folds)])
     base.unpersist()
-    lr = classifier("lr", features="features", label=label, maxIter=50)
+    lr = classifier("lr", features="features", label=label, **MODEL_PARAMS["lr"])
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     cv = CrossValidator(
         estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds, parallelism=min(4, len(grid))
     )
     fitted = cv.fit(data)
+    data.unpersist()
     spark = df.sparkSession
     rows = [(float(m[lr.regParam]), float(a)) for m, a in zip(grid, fitted.avgMetrics)]
     out = spark.createDataFrame(rows, "reg_param double, mean_auc double")
@@ -222,13 +234,13 @@ def regression_baselines(df: DataFrame, features: Sequence[str], target: str, ke
 
     from strata.operators.quality import regression_metrics
 
-    train, test = _split(df)
+    base, train, test = _split_base(df, keys)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     prep = [Imputer(inputCols=list(features), outputCols=list(features), strategy="mean"), asm]
     train, test = (f.withColumns({c: F.col(c).cast("double") for c in features}) for f in (train, test))
     models = {
         "Ridge Regression": LinearRegression(featuresCol="features", labelCol=target, regParam=0.1, elasticNetParam=0.0),
-        "Gradient Boosted Regression": GBTRegressor(featuresCol="features", labelCol=target, maxIter=10, maxDepth=5, seed=42),
+        "Gradient Boosted Regression": GBTRegressor(featuresCol="features", labelCol=target, **MODEL_PARAMS["gbt"]),
     }
     frames = []
     for name, est in models.items():
@@ -237,4 +249,40 @@ def regression_baselines(df: DataFrame, features: Sequence[str], target: str, ke
     allp = frames[0]
     for f in frames[1:]:
         allp = allp.unionByName(f)
-    return regression_metrics(allp, "y", "yhat", ["model"])
+    out = materialize(regression_metrics(allp, "y", "yhat", ["model"]), "regression")
+    base.unpersist()
+    return out
+
+
+def exact_fits(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str], flag: Column, x: str, y: str) -> DataFrame:
+    """(model, quantity, value) of fits that SQL can state exactly, to hold the estimators' wiring against.
+
+    Trees of one split over features of few values (every midpoint is a
+    candidate): a decision tree, a forest without sampling, a boosted ensemble's
+    first tree (on labels of -1 and 1, so with twice the gain).  A logistic
+    regression of the label on the two-valued ``flag``; a least-squares line of
+    ``y`` on ``x``.
+    """
+    from pyspark.ml.regression import LinearRegression
+
+    base = fixed_layout(df.withColumn("_flag", flag), keys).persist()
+    one = {"maxDepth": 1, "maxBins": 128, "seed": 42}
+    stumps = {
+        "dt": one,
+        "rf": one | {"numTrees": 1, "bootstrap": False, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"},
+        "gbt": one | {"maxIter": 1, "featureSubsetStrategy": "all"},
+    }
+    rows = []
+    for kind, params in stumps.items():
+        model = build_pipeline(kind, features, label, scale=False, **params).fit(base)
+        rows += [(MODEL_NAMES[kind], k, float(v)) for k, v in root_split(model).items()]
+        if kind == "dt":
+            rows.append((MODEL_NAMES[kind], "importance", float(max(model.stages[-1].featureImportances.toArray()))))
+    lr = build_pipeline("lr", ["_flag"], label, scale=False, maxIter=100, tol=1e-12).fit(base).stages[-1]
+    line = Pipeline(stages=[VectorAssembler(inputCols=[x], outputCol="features"), LinearRegression(labelCol=y, solver="normal")]).fit(base).stages[-1]
+    base.unpersist()
+    fine = [(MODEL_NAMES["lr"], "intercept", lr.intercept), (MODEL_NAMES["lr"], "coefficient", lr.coefficients[0])]
+    fine += [("Linear Regression", "slope", line.coefficients[0]), ("Linear Regression", "intercept", line.intercept), ("Linear Regression", "r2", line.summary.r2)]
+    spark, kind = df.sparkSession, "model string, quantity string, value double"
+    out = spark.createDataFrame(rows, kind).withColumn("value", rnd(F.col("value"), 6))
+    return out.unionByName(spark.createDataFrame([(m, q, float(v)) for m, q, v in fine], kind).withColumn("value", rnd(F.col("value"), 4)))

@@ -60,7 +60,7 @@ def test_quantile_plan_sorts_pruned_rows_only(spark):
     """After the range partition the stored rows meet a broadcast list of wanted slices before any exchange."""
     df, _ = hot_frame(spark)
     plan = exact_quantiles(df, ["g"], "v", [0.5], slices=12)._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.split("\n") if "FileScan" in line and "ranked" in line]
-    window = plan[plan.index("Window") :]
-    assert scans and window.index("BroadcastHashJoin") < window.index("FileScan")
-    assert "SortMergeJoin" not in window[: window.index("FileScan")]
+    below = plan[plan.index("Window [") :]
+    below = below[: below.index("FileScan")]
+    assert below.index("Exchange hashpartitioning(_slice") < below.index("BroadcastHashJoin") and "SortMergeJoin" not in below
+    assert "Exchange" not in below[below.index("BroadcastHashJoin") :].split("Project")[-1]
