@@ -45,6 +45,7 @@ GROWTH = 1.6  # a band's largest size over its smallest
 MOST = 100_000  # sets of a bucket held at once; larger ones all count as this large
 WORDS = 8  # 64-bit words of a sketch
 _SKETCH = [f"w{i}" for i in range(WORDS)]
+_KNOWN = ["size", *_SKETCH]
 
 _U = np.uint64
 _ENTRY = "sig long, node long, room int, doc long, size int"
@@ -355,15 +356,37 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     return out.select(F.col("doc").alias("doc_id"), F.col("size").cast("long").alias("n_shingles"), F.coalesce("least", "doc").alias("component_id"))
 
 
-def _open_buckets(buckets: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
-    """Bucket rows with their node's size and sketch; of buckets with the same members one stands for all (``times``).
+def _open_buckets(buckets: DataFrame, store: Store) -> DataFrame:
+    """Bucket rows (sig, node, times, hub); of buckets with the same members one stands for all (``times``).
 
     ``hub`` is how many bucket neighbours a node has in all."""
     kinds = buckets.groupBy("sig").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
     chosen = kinds.groupBy("n", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("times"))
     rows = buckets.join(chosen.select("sig", "n", "times"), "sig")
-    rows = rows.withColumn("hub", F.sum(F.col("times") * F.col("n")).over(Window.partitionBy("node"))).drop("n")
-    return store.put(rows.join(sets.select("node", "size", *_SKETCH).dropDuplicates(["node"]), "node"), "sketched")
+    return store.put(rows.withColumn("hub", F.sum(F.col("times") * F.col("n")).over(Window.partitionBy("node"))).drop("n"), "open")
+
+
+def _led_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, step: int, percent: int) -> DataFrame:
+    """(u, v, a, b): each node with the lead it shares most buckets with, of those of other components that it may link with and was not compared with."""
+    draw = F.struct(F.lit(0) if step % 2 else -F.col("hub"), F.xxhash64("node", F.lit(step)))
+    spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root"), draw).alias("lead")).where("r0 < r1")
+    met = labelled.join(spread.select("sig", "lead"), "sig").where("root <> lead.root")
+    near = met.groupBy("node", "root", "lead").agg(F.sum("times").alias("n"))
+    near = near.select("node", "n", F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), F.greatest("root", "lead.root").alias("u"), F.least("root", "lead.root").alias("v"))
+    near = near.join(tried, ["a", "b"], "left_anti")
+    for n in "ab":
+        near = near.join(sketches.select(F.col("node").alias(n), *(F.col(c).alias(c + n) for c in _KNOWN)), n)
+    near = near.where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
+    return near.groupBy("node").agg(F.max_by(F.struct("u", "v", "a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.u", "p.v", "p.a", "p.b").distinct()
+
+
+def _rest_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """(u, v, a, b): all pairs of a bucket that lie in two components, may link and were not compared."""
+    spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("sig")
+    open_ = labelled.select("sig", "node", "root").join(spread, "sig").join(sketches, "node")
+    x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in _KNOWN)) for n in "ab")
+    pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
+    return pairs.select(F.greatest("ra", "rb").alias("u"), F.least("ra", "rb").alias("v"), "a", "b").distinct().join(tried, ["a", "b"], "left_anti")
 
 
 def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store, percent: int, size: int) -> DataFrame:
@@ -375,8 +398,8 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
     most of a round's comparisons fail, components are made whole and all pairs
     of a bucket that lie in two of them, and may link, are compared."""
     sets = _texts(docs, buckets.select("node").distinct(), members, store, size)
-    known = ["size", *_SKETCH]
-    buckets = _open_buckets(buckets, sets, store)
+    sketches = sets.select("node", *_KNOWN).dropDuplicates(["node"])
+    buckets = _open_buckets(buckets, store)
     twice = members.groupBy("doc").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c")
     links = store.put(members.join(twice, "doc").select(F.col("node").alias("a"), "b").where("a <> b").distinct(), "links")
     root = components(links, store)
@@ -384,23 +407,11 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
     tried = docs.sparkSession.createDataFrame([], "a long, b long")
     last, step = False, 0
     while True:
-        labelled = buckets.join(root, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"), "times", "hub", *known)
-        draw = F.struct(F.lit(0) if step % 2 else -F.col("hub"), F.xxhash64("node", F.lit(step)))
-        spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root", *known), draw).alias("lead")).where("r0 < r1")
-        spread = store.put(spread.select("sig", "lead"), "spread")
-        if spread.isEmpty():
-            break
-        open_ = labelled.join(spread, "sig")
-        if last:
-            x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in known)) for n in "ab")
-            pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
-            pairs = pairs.select(F.greatest("ra", "rb").alias("u"), F.least("ra", "rb").alias("v"), "a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        else:
-            near = open_.where("root <> lead.root").where(_may_link(F.col, lambda c: F.col("lead")[c], percent)).groupBy(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), "node").agg(F.sum("times").alias("n"), F.min(F.greatest("root", "lead.root")).alias("u"), F.min(F.least("root", "lead.root")).alias("v"))
-            near = near.join(tried, ["a", "b"], "left_anti")
-            pairs = near.groupBy("node").agg(F.max_by(F.struct("u", "v", "a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.u", "p.v", "p.a", "p.b").distinct()
-        pairs = store.put(pairs, "pairs")
+        labelled = buckets.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        found = _rest_pairs(labelled, sketches, tried, percent) if last else _led_pairs(labelled, sketches, tried, step, percent)
+        pairs = store.put(found, "pairs")
         checked = store.put(_verify(pairs, sets, percent).distinct(), "checked")
+        store.drop(pairs)
         count = checked.agg(F.count("*").alias("n"), F.count_if("linked").alias("linked")).first()
         if count.linked:
             # links of roots; labels need not be whole before the end, so one step a round is enough
@@ -409,8 +420,10 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
             break
         last, step = 2 * count.linked <= count.n, step + 1
         tried = store.put(tried.union(checked.select("a", "b")), "tried")
+        store.drop(checked)
         if last:
             root = components(forest.select(F.col("u").alias("a"), F.col("v").alias("b")), store)
         elif count.linked:
             root = store.put(_labels(forest), "root")
+        store.release()
     return components(forest.select(F.col("u").alias("a"), F.col("v").alias("b")), store)
