@@ -810,6 +810,48 @@ def q_layer_stats_json(spark, sf):
     )
 
 
+_LINES = {"qty": ("(l_orderkey * 7 + l_linenumber) % 50 = 0", "(l_orderkey * 7 + l_linenumber) % 41 = 0"), "disc": ("(l_orderkey + l_partkey) % 60 = 0", "FALSE"), "shipped": ("(l_partkey * 5 + l_linenumber) % 70 = 0", "(l_partkey * 5 + l_linenumber) % 33 = 0")}
+_TORN = "(l_orderkey * 3 + l_suppkey) % 90 = 0"
+_LEDGER = [("*", "TRUE", "FALSE"), ("*good", f"NOT {_TORN} AND NOT (" + " OR ".join(bad for bad, _ in _LINES.values()) + ")", "FALSE"), ("*malformed", _TORN, "FALSE")]
+_LEDGER += [(c, "FALSE", "FALSE") for c in ("l_orderkey", "l_linenumber")] + [(c, f"NOT {_TORN} AND {bad}", f"NOT {_TORN} AND NOT {bad} AND {empty}") for c, (bad, empty) in _LINES.items()]
+
+
+@query(
+    "ingest_ledger",
+    _u(f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {bad}) AS n_failed, COUNT(*) FILTER (WHERE {empty}) AS n_null FROM lineitem" for c, bad, empty in _LEDGER),
+)
+def q_ingest_ledger(spark, sf):
+    """lineitem as text lines with words in number and date cells, empty cells and torn lines; what a typed read makes of them."""
+    words = {"qty": ("n/a", "l_quantity"), "disc": ("5%", "l_discount"), "shipped": ("soon", "l_shipdate")}
+    cell = {c: F.when(F.expr(bad), word).when(F.expr(empty), "").otherwise(F.col(src).cast("string")) for (c, (bad, empty)), (word, src) in zip(_LINES.items(), words.values())}
+    line = F.concat_ws(",", "l_orderkey", "l_linenumber", *cell.values(), F.when(F.expr(_TORN), "torn"))
+    path = _scratch(spark, "lines")
+    table(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    return IO.read_checked(spark, path, "l_orderkey long, l_linenumber long, qty double, disc double, shipped date", header=False).ledger
+
+
+_SQL_OF = {n: ORACLE[n] for n in ("bronze_report", "silver_report")}
+
+
+@query(
+    "layer_documents",
+    _u(f"SELECT layer, section, key, value, CAST(NULL AS VARCHAR) AS text FROM ({sql})" for sql in _SQL_OF.values())
+    + f"\nUNION ALL SELECT * FROM ({_MLONG}, b AS (SELECT model FROM met ORDER BY accuracy DESC, model LIMIT 1)\n"
+    "SELECT 'gold' AS layer, 'model_comparison.' || model AS section, metric AS key, value, CAST(NULL AS VARCHAR) AS text FROM ml\n"
+    "UNION ALL SELECT 'gold', 'metrics', metric, value, NULL FROM ml JOIN b USING (model)\n"
+    "UNION ALL SELECT 'gold', 'best_model', 'name', NULL, model FROM b)",
+)
+def q_layer_documents(spark, sf):
+    """One statistics document per layer, written as JSON and read back with its types; gold compares the rule models."""
+    from strata.plans import documents as D
+
+    raw = readings(spark, sf).select(*SAMPLE_COLS)
+    gold, words = D.comparison_kpis(_rules_metrics(spark, sf))
+    docs = D.layer_document(R.bronze_report(raw, LABEL)).unionByName(D.layer_document(R.silver_report(raw, LABEL, IMPUTED, FEATURES))).unionByName(D.layer_document(gold, words))
+    path = IO.write_table(docs, _scratch(spark, "documents"), fmt="json")
+    return D.document_rows(IO.read_table(spark, path, fmt="json", schema=D.SCHEMA))
+
+
 # ---------------------------------------------------------------- secondary inputs and extensions
 # Admissible ranges of the readings columns (column, low, high).
 RANGE_RULES = [("qty", 1.0, 50.0), ("price", 900.0, 105000.0), ("tax", 0.0, 0.08), ("disc", 0.0, 0.1)]

@@ -171,6 +171,19 @@ def gold_report(run: GoldRun, features: Sequence[str], layer: str = "gold") -> D
     return sizes.unionByName(best_metrics).unionByName(cells).unionByName(extra).unionByName(comparison)
 
 
+def gold_texts(run: GoldRun, layer: str = "gold") -> DataFrame:
+    """(layer, section, key, text): the best model's name and its parameters that are words or flags."""
+    spark = run.preds.sparkSession
+    best = E.best_row(run.metrics, "accuracy", "model").first()
+    rows = []
+    if best is not None:
+        rows.append((layer, "best_model", "name", best["model"]))
+        for p, v in run.models[best["model"]].stages[-1].extractParamMap().items():
+            if isinstance(v, (str, bool)):
+                rows.append((layer, "hyperparameters", p.name, str(v).lower() if isinstance(v, bool) else v))
+    return spark.createDataFrame(rows, "layer string, section string, key string, text string")
+
+
 def model_comparison(
     df: DataFrame,
     features: Sequence[str],

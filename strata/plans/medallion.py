@@ -1,16 +1,19 @@
-"""End-to-end layered run: raw table → bronze → silver → gold, each written as tables.
+"""End-to-end layered run: raw table → bronze → silver → gold, published in one step.
 
-bronze/<table>          the raw rows as read
-bronze/<table>_stats    the bronze KPI frame (and ``_stats_json``: one JSON document)
-silver/<table>          imputed, de-duplicated rows
+bronze/<table>          the whole raw table as read
+bronze/<table>_stats    the bronze KPI frame
+silver/<table>          imputed, de-duplicated rows (also ``_csv``)
 silver/<table>_stats    the silver KPI frame
-gold/model_comparison   metrics per model with fit seconds and the best mark
-gold/feature_importance importances of the best tree model, ranked
-gold/predictions_sample first rows of the best model's test predictions
+gold/model_comparison   metrics per model with fit seconds and the best mark (also ``_csv``)
+gold/feature_importance importances of the best model if it is of trees, ranked (also ``_csv``)
+gold/predictions_sample first rows of the best model's test predictions (also ``_csv``)
 gold/metrics            the gold KPI frame (sizes, metrics, confusion cells, parameters)
 gold/model_<name>       every fitted pipeline (MLlib format)
+<layer>/<...>_stats_json, gold/metrics_json   each layer's statistics document, one JSON object
 
-Every step is a Spark job on the cluster; the root may be any Hadoop URI.
+Every step is a Spark job on the cluster; the root may be any Hadoop URI.  The
+tables lie in the run's own folder and become current together, by the
+manifest that ends the run (``sources.publication``).
 """
 
 from __future__ import annotations
@@ -25,9 +28,9 @@ from strata.operators import evaluate as E
 from strata.operators.features import hash_split
 from strata.operators.models import importances
 from strata.plans import reports as R
-from strata.plans.gold import gold_report, run_models
-from strata.sources.layers import layer_path, publish_layer, read_layer
-from strata.sources.io import write_table
+from strata.plans.documents import layer_document
+from strata.plans.gold import gold_report, gold_texts, run_models
+from strata.sources.publication import Publication
 
 
 def run_medallion(
@@ -40,50 +43,49 @@ def run_medallion(
     keys: Sequence[str],
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
-    classes: Sequence[int] = (0, 1),
+    classes: Sequence[int] | None = None,
     sample_rows: int = 50,
 ) -> dict[str, str]:
-    """Write all three layers under ``root``; returns {name: folder}."""
+    """Write all three layers under ``root`` and switch to them; returns {name: folder}."""
     spark = raw.sparkSession
-    out: dict[str, str] = {}
-    cols = [*keys, *features, label]
+    to = Publication(spark, root)
+    content = [*features, label]
 
-    # bronze: the rows as read, plus their profile
-    out["bronze"] = publish_layer(raw.select(*cols), root, "bronze", table)
-    bronze = read_layer(spark, root, "bronze", table)
-    b_stats = R.bronze_report(bronze.select(*features, label), label, classes)
-    out["bronze_stats"] = publish_layer(b_stats, root, "bronze", f"{table}_stats")
-    doc = R.stats_document(read_layer(spark, root, "bronze", f"{table}_stats"))
-    out["bronze_stats_json"] = write_table(doc, layer_path(root, "bronze", f"{table}_stats_json"), fmt="json")
+    # bronze: the whole table as read, plus its profile
+    bronze = to.put(raw, "bronze", table)
+    stats = to.put(R.bronze_report(bronze.drop(*keys), label, classes), "bronze", f"{table}_stats")
+    to.put(layer_document(stats), "bronze", f"{table}_stats_json", "json")
 
     # silver: imputed and de-duplicated (keys kept so the split stays layout-independent)
-    clean, _ = R.silver_tables(bronze, impute_cols, content_cols=[*features, label], keys=keys)
-    out["silver"] = publish_layer(clean, root, "silver", table)
-    silver = read_layer(spark, root, "silver", table)
-    s_stats = R.silver_report(bronze.select(*features, label), label, impute_cols, features, classes)
-    out["silver_stats"] = publish_layer(s_stats, root, "silver", f"{table}_stats")
+    clean, _ = R.silver_tables(bronze.select(*keys, *content), impute_cols, content_cols=content, keys=keys)
+    silver = to.put(clean, "silver", table)
+    to.put(silver, "silver", f"{table}_csv", "csv")
+    stats = to.put(R.silver_report(bronze.select(*content), label, impute_cols, features, classes), "silver", f"{table}_stats")
+    to.put(layer_document(stats), "silver", f"{table}_stats_json", "json")
 
     # gold: fit, compare, explain
     run = run_models(hash_split(silver, keys), features, [], label, keys, kinds, params)
     secs = spark.createDataFrame([(n, float(v)) for n, v in run.fit_seconds.items()], "model string, fit_seconds double")
-    comparison = E.mark_best(run.metrics.join(secs, "model", "left"), "accuracy", "model")
-    out["model_comparison"] = publish_layer(comparison, root, "gold", "model_comparison")
-    best = read_layer(spark, root, "gold", "model_comparison").filter("is_best").first()
+    comparison = to.put(E.mark_best(run.metrics.join(secs, "model", "left"), "accuracy", "model"), "gold", "model_comparison")
+    to.put(comparison, "gold", "model_comparison_csv", "csv")
+    best = comparison.filter("is_best").first()
     if best is not None:
         name = best["model"]
         model = run.models[name]
         if hasattr(model.stages[-1], "featureImportances"):
-            out["feature_importance"] = publish_layer(importances(model, features, name), root, "gold", "feature_importance")
+            to.put(to.put(importances(model, features, name), "gold", "feature_importance"), "gold", "feature_importance_csv", "csv")
         sample = (
             run.preds.filter(F.col("model") == name)
             .orderBy(*keys)
             .limit(sample_rows)
             .select(*keys, "label", "prediction", rnd(F.col("p1"), 4).alias("p1"), rnd(F.col("p0"), 4).alias("p0"))
         )
-        out["predictions_sample"] = publish_layer(sample, root, "gold", "predictions_sample")
-    out["metrics"] = publish_layer(gold_report(run, features), root, "gold", "metrics")
+        to.put(to.put(sample, "gold", "predictions_sample"), "gold", "predictions_sample_csv", "csv")
+    metrics = to.put(gold_report(run, features), "gold", "metrics")
+    to.put(layer_document(metrics, gold_texts(run)), "gold", "metrics_json", "json")
     for name, model in run.models.items():
-        path = layer_path(root, "gold", "model_" + "".join(ch if ch.isalnum() else "_" for ch in name.lower()))
-        model.write().overwrite().save(path)
-        out[f"model_{name}"] = path
-    return out
+        model.write().overwrite().save(to.path("gold", "model_" + "".join(ch if ch.isalnum() else "_" for ch in name.lower())))
+    run.release()
+    to.switch()
+    names = {"bronze/" + table: "bronze", "silver/" + table: "silver", f"bronze/{table}_stats": "bronze_stats", f"silver/{table}_stats": "silver_stats"}
+    return {names.get(k, k.split("/", 1)[1]): entry["path"] for k, entry in to.tables.items()}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import as_double, is_missing, pct, rnd
@@ -25,7 +25,11 @@ def _kpi(df: DataFrame, layer: str, section: str, pairs: Sequence[tuple[str, obj
 
 def _kpis(df: DataFrame, layer: str, triples: Sequence[tuple[str, str, object]]) -> DataFrame:
     """One-row aggregate → every (section, key, column) as a row, in a single ``inline``."""
-    cells = [
+    return df.select(F.inline(F.array(*_cells(layer, triples))))
+
+
+def _cells(layer: str, triples: Sequence[tuple[str, str, object]]) -> list[Column]:
+    return [
         F.struct(
             F.lit(layer).alias("layer"),
             F.lit(sec).alias("section"),
@@ -34,18 +38,23 @@ def _kpis(df: DataFrame, layer: str, triples: Sequence[tuple[str, str, object]])
         )
         for sec, k, c in triples
     ]
-    return df.select(F.inline(F.array(*cells)))
 
 
-def bronze_report(df: DataFrame, label: str, classes: Sequence[int] = (0, 1), layer: str = "bronze") -> DataFrame:
+def _class_key(label: str) -> Column:
+    return F.coalesce(F.col(label).cast("string"), F.lit("null"))
+
+
+def bronze_report(df: DataFrame, label: str, classes: Sequence[int] | None = None, layer: str = "bronze") -> DataFrame:
     """Rows, columns, missing count and % per column, label counts, duplicate rows.
 
-    Two passes: one aggregation for counts, one row-grouping for duplicates.
+    Labels of all classes found are counted (a null one as ``null``), or those
+    of ``classes``, with zeros.  Three passes: one aggregation for counts, one
+    over the label alone, one row-grouping for duplicates.
     """
     names = df.columns
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(is_missing(df, c)).alias(f"_m{i}") for i, c in enumerate(names)]
-    aggs += [F.count_if(F.col(label) == F.lit(k)).alias(f"_l{j}") for j, k in enumerate(classes)]
+    aggs += [F.count_if(F.col(label) == F.lit(k)).alias(f"_l{j}") for j, k in enumerate(classes or ())]
     one = df.agg(*aggs).withColumn("_cols", F.lit(len(names)))
     for i, _ in enumerate(names):
         one = one.withColumn(f"_p{i}", pct(F.col(f"_m{i}"), F.col("_n")))
@@ -53,7 +62,7 @@ def bronze_report(df: DataFrame, label: str, classes: Sequence[int] = (0, 1), la
         [("table", "total_rows", "_n"), ("table", "total_columns", "_cols")]
         + [("missing_values", c, f"_m{i}") for i, c in enumerate(names)]
         + [("missing_pct", c, f"_p{i}") for i, c in enumerate(names)]
-        + [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes)]
+        + [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes or ())]
     )
     parts = [
         _kpis(one, layer, main),
@@ -63,6 +72,9 @@ def bronze_report(df: DataFrame, label: str, classes: Sequence[int] = (0, 1), la
             [(layer, "schema", f"{f.name}:{f.dataType.simpleString()}", float(i)) for i, f in enumerate(df.schema.fields)], _KPI
         ),
     ]
+    if classes is None:
+        counts = df.groupBy(_class_key(label).alias("key")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+        parts.append(counts.select(F.lit(layer).alias("layer"), F.lit("label_distribution").alias("section"), "key", "value"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -87,11 +99,13 @@ def silver_report(
     label: str,
     impute_cols: Sequence[str],
     feature_cols: Sequence[str],
-    classes: Sequence[int] = (0, 1),
+    classes: Sequence[int] | None = None,
     digits: int = 4,
     layer: str = "silver",
 ) -> DataFrame:
-    """Rows, duplicates removed, imputation means, missing after, label counts, feature stats."""
+    """Rows, duplicates removed, imputation means, missing after, label counts, feature stats.
+
+    Labels of all classes found are counted, or those of ``classes``, with zeros."""
     means_row = raw.select(*[as_double(raw, c) for c in impute_cols]).agg(
         F.count(F.lit(1)).alias("_before"), *[F.avg(c).alias(c) for c in impute_cols]
     ).first()
@@ -101,7 +115,7 @@ def silver_report(
     names = clean.columns
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.count_if(is_missing(clean, c)).alias(f"_m{i}") for i, c in enumerate(names)]
-    aggs += [F.count_if(F.col(label) == F.lit(k)).alias(f"_l{j}") for j, k in enumerate(classes)]
+    aggs += [F.count_if(F.col(label) == F.lit(k)).alias(f"_l{j}") for j, k in enumerate(classes or ())]
     for i, _ in enumerate(feature_cols):
         x = F.col(f"_f{i}")
         aggs += [
@@ -111,8 +125,9 @@ def silver_report(
             rnd(F.max(x), digits).alias(f"_hi{i}"),
         ]
     with_feats = clean.select("*", *[as_double(clean, c).alias(f"_f{i}") for i, c in enumerate(feature_cols)])
-    # one pass over the clean table; everything below is read off its single row
-    one = with_feats.agg(*aggs)
+    # one pass over the clean table; the total's row and one row per class hold everything below
+    with_class = with_feats.withColumn("_class", _class_key(label))
+    one = (with_class.rollup("_class") if classes is None else with_class.groupBy()).agg(*aggs, *([F.grouping_id().alias("_total")] if classes is None else []))
     triples = [
         ("table", "total_rows", "_n"),
         ("table", "rows_before", F.lit(before)),
@@ -120,10 +135,13 @@ def silver_report(
     ]
     triples += [("imputation_applied", c, rnd(F.lit(m).cast("double"), digits)) for c, m in means.items()]
     triples += [("missing_after", c, f"_m{i}") for i, c in enumerate(names)]
-    triples += [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes)]
+    triples += [("label_distribution", str(k), f"_l{j}") for j, k in enumerate(classes or ())]
     for i, c in enumerate(feature_cols):
         triples += [(f"feature_stats.{c}", k, f"_{p}{i}") for k, p in (("mean", "a"), ("std", "s"), ("min", "lo"), ("max", "hi"))]
-    return _kpis(one, layer, triples)
+    if classes is not None:
+        return _kpis(one, layer, triples)
+    own_class = F.array(F.struct(F.lit(layer).alias("layer"), F.lit("label_distribution").alias("section"), F.col("_class").alias("key"), F.col("_n").cast("double").alias("value")))
+    return one.select(F.inline(F.when(F.col("_total") == 1, F.array(*_cells(layer, triples))).otherwise(own_class)))
 
 
 def layer_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
