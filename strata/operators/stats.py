@@ -1,7 +1,8 @@
 """Correlation, histograms and box statistics, computed on executors.
 
-* correlation: one aggregation with n(n+1)/2 ``corr`` terms (pairwise
-  complete: a pair skips rows where either side is missing).
+* correlation: one aggregation with n(n+1)/2 ``corr`` terms, or for wide
+  vectors Gram matrices summed by task and cell (pairwise complete: a pair
+  skips rows where either side is missing).
 * histogram: per (feature, class) bounds in one aggregation, then bins in a
   second aggregation with the bounds broadcast (size-checked); empty bins
   are emitted with count 0.
@@ -13,8 +14,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,25 +49,64 @@ def correlation_long(df: DataFrame, cols: Sequence[str], digits: int | None = 6)
 
 
 def correlation_vector(df: DataFrame, vec_col: str, names: Sequence[str] | None = None, digits: int | None = 6) -> DataFrame:
-    """Pearson matrix of a vector / array column in long form (i, j, col_a, col_b, corr).
+    """Pearson matrix of a vector / array column in long form (i, j, col_a, col_b, corr), pairwise complete.
 
-    For wide inputs (dozens of components) one MLlib ``Correlation.corr`` pass
-    replaces n(n+1)/2 separate aggregates.  The input must be complete; the
-    n x n result is bounded by the width, not the row count.
+    For wide inputs each task sums the Gram matrices of its rows, and those of
+    their masks, with matrix products; the cells of all tasks meet in one
+    grouped sum, so no matrix reaches the driver.  A pair skips the rows where
+    either side is null, NaN or beyond the vector's end; values are taken
+    relative to the first row's, so that a large mean costs no digits.  A task
+    holds 32 bytes a cell; null vectors and empty tables give no cells.
     """
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation
+    from pyspark.ml.functions import vector_to_array
     from pyspark.sql import types as T
 
-    vec = df.select(
-        array_to_vector(F.col(vec_col)).alias("_v") if isinstance(df.schema[vec_col].dataType, T.ArrayType) else F.col(vec_col).alias("_v")
-    )
-    matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    n = matrix.shape[0]
-    labels = list(names) if names is not None else [f"{vec_col}[{k}]" for k in range(n)]
-    rows = [(i, j, labels[i], labels[j], float(matrix[i, j])) for i in range(n) for j in range(n)]
-    out = df.sparkSession.createDataFrame(rows, "i int, j int, col_a string, col_b string, corr double")
-    return out.withColumn("corr", rnd(F.col("corr"), digits)) if digits is not None else out
+    array = F.col(vec_col) if isinstance(df.schema[vec_col].dataType, T.ArrayType) else vector_to_array(F.col(vec_col))
+    vec = df.select(array.cast("array<double>").alias("_v")).where("_v is not null")
+    first = vec.first()
+    shift = np.nan_to_num(np.array(first["_v"] if first else [], float))  # one vector
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((4, 0, 0))
+        for batch in batches:
+            x = _padded(batch["_v"], len(shift))
+            x[:, : len(shift)] -= shift
+            grown = np.zeros((4, max(x.shape[1], sums.shape[1]), max(x.shape[1], sums.shape[1])))
+            grown[:, : sums.shape[1], : sums.shape[1]] = sums
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            for k, (left, right) in enumerate(((m, m), (x, m), (x * x, m), (x, x))):
+                grown[k, : x.shape[1], : x.shape[1]] += left.T @ right
+            sums = grown
+        n, sx, sxx, sxy = sums
+        for i in range(len(n)):  # one row of cells at a time
+            j = np.arange(i, len(n))
+            cells = (np.full(len(j), i, np.int32), j.astype(np.int32), n[i, i:], sx[i, i:], sx[i:, i], sxx[i, i:], sxx[i:, i], sxy[i, i:])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, cells)], names=_CELL)
+
+    kinds = "i int, j int, " + ", ".join(f"{c} double" for c in _CELL[2:])
+    cell = vec.mapInArrow(partial, kinds).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _CELL[2:]])
+    spread = lambda s, q: F.col(q) - F.col(s) * F.col(s) / F.col("n")
+    both = spread("sx", "sxx") * spread("sy", "syy")
+    corr = F.when((F.col("n") > 1) & (both > 0), (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / F.sqrt(both))
+    half = cell.select("i", "j", (rnd(corr, digits) if digits is not None else corr).alias("corr"))
+    whole = half.unionByName(half.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    given = F.array(*map(F.lit, names)) if names is not None else None
+    label = lambda c: F.element_at(given, F.col(c) + 1) if names is not None else F.concat(F.lit(f"{vec_col}["), F.col(c).cast("string"), F.lit("]"))
+    return whole.select("i", "j", label("i").alias("col_a"), label("j").alias("col_b"), "corr")
+
+
+_CELL = ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"]
+
+
+def _padded(vectors: pa.ListArray, width: int) -> np.ndarray:
+    """Rows of at least ``width`` columns, NaN for nulls and beyond a vector's end."""
+    length = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(float)
+    out = np.full((len(length), max(width, length.max(initial=0))), np.nan)
+    row = np.repeat(np.arange(len(length)), length)
+    out[row, np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)] = flat
+    return out
 
 
 def correlation_lower(corr_long: DataFrame) -> DataFrame:

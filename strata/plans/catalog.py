@@ -344,6 +344,21 @@ def q_correlation_wide(spark, sf):
     return S.correlation_vector(table(spark, sf, "embeddings"), "embedding")
 
 
+_HOLED = "CASE WHEN (e.vec_id * 7 + {k}) % 11 = 0 THEN NULL ELSE e.embedding[{k} + 1]::DOUBLE END"
+
+
+@query(
+    "correlation_wide_nulls",
+    "SELECT CAST(a.i AS INTEGER) AS i, CAST(b.j AS INTEGER) AS j, 'embedding[' || a.i || ']' AS col_a, 'embedding[' || b.j || ']' AS col_b, "
+    f"round(corr({_HOLED.format(k='a.i')}, {_HOLED.format(k='b.j')}), 6) + 0.0 AS corr "
+    "FROM embeddings e CROSS JOIN range(0, 64) AS a(i) CROSS JOIN range(0, 64) AS b(j) GROUP BY a.i, b.j",
+)
+def q_correlation_wide_nulls(spark, sf):
+    """The same over vectors with one component in eleven missing."""
+    holed = F.transform("embedding", lambda x, k: F.when((F.col("vec_id") * 7 + k) % 11 != 0, x))
+    return S.correlation_vector(table(spark, sf, "embeddings").withColumn("embedding", holed), "embedding")
+
+
 LONG_CTE = f"{W}, lg AS (" + _u(
     f"SELECT '{c}' AS feature, y, CAST({c} AS DOUBLE) AS value FROM r WHERE {c} IS NOT NULL" for c in FEATURES
 ) + ")"
@@ -1125,4 +1140,16 @@ def q_stream_scoring(spark, sf):
     return score_files(spark, f"{sf.rstrip('/')}/lineitem.parquet", _scratch(spark, "stream"))
 
 
+@query("stream_counters", "SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (WHERE value > 10) AS n_high FROM events GROUP BY event_type")
+def q_stream_counters(spark, sf):
+    """Events delivered as files in time order, all of them twice; each event counts once."""
+    from strata.streaming.counters import count_files
+
+    inbox = _scratch(spark, "inbox")
+    for _ in range(2):
+        table(spark, sf, "events").repartitionByRange(4, "ts").write.mode("append").parquet(inbox)
+    counts = {"n": F.count(F.lit(1)), "n_high": F.count_if(F.col("value") > 10)}
+    return count_files(spark, inbox, _scratch(spark, "counters"), ["event_id"], "ts", ["event_type"], counts, lateness="45 days", max_files_per_trigger=3)
+
+
 ORACLE.update({k: _published(v) for k, v in ORACLE.items()})

@@ -90,3 +90,27 @@ def test_empty_table_statistics_and_metrics(spark):
     assert len(m) == 1 and m[0]["accuracy"] is None
     kpi = {(r["section"], r["key"]): r["value"] for r in bronze_report(empty.select("x", "y"), "y").collect()}
     assert kpi[("table", "total_rows")] == 0.0 and kpi[("table", "duplicates")] == 0.0
+
+
+def test_wide_correlation_is_pairwise_complete(spark):
+    """Nulls, NaN, null vectors, short vectors and a large mean, against numpy pair by pair."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 7)) + [0, 1e7, 0, 0, 0, 0, 0]
+    x[:, 2] += x[:, 0]
+    x[:, 5] = 4.0
+    rows = [[None if rng.random() < 0.1 else float(v) for v in r] for r in x]
+    rows[3][4], rows[7] = float("nan"), rows[7][:4]
+    df = spark.createDataFrame([(r,) for r in rows] + [(None,)], "v array<double>").repartition(5)
+    got = {(r.i, r.j): r["corr"] for r in S.correlation_vector(df, "v", digits=None).collect()}
+    full = np.array([[np.nan if v is None else v for v in r + [None] * (7 - len(r))] for r in rows], float)
+    assert len(got) == 49
+    for i in range(7):
+        for j in range(7):
+            keep = ~np.isnan(full[:, i]) & ~np.isnan(full[:, j])
+            if 5 in (i, j):
+                assert got[i, j] is None
+            else:
+                assert got[i, j] == pytest.approx(np.corrcoef(full[keep, i], full[keep, j])[0, 1], abs=1e-6)
+    named = S.correlation_vector(df, "v", names=list("abcdefg")).where("i = 0 and j = 2").first()
+    assert (named.col_a, named.col_b) == ("a", "c")
+    assert S.correlation_vector(df.where("1 = 0"), "v").count() == 0
