@@ -11,6 +11,7 @@ find their place by their rank among pieces of their length.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
@@ -27,6 +28,20 @@ SEQUENCE = 2048
 END = 1  # the id put after each document
 SALTS = 64
 
+# Fixed value: the normaliser and the cutting rule that the plain words' short cut below follows.
+_RULES = json.dumps(
+    [
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        },
+    ],
+    sort_keys=True,
+)
 _LETTER = "a-zß-öø-ÿ"
 #: Words whose normal form and pieces are plain: printable ASCII and the Latin-1 letters.  All others go through the tokenizer's own normaliser.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
@@ -51,6 +66,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if json.dumps([spec["normalizer"], spec["pre_tokenizer"]], sort_keys=True) != _RULES or spec["model"].get("end_of_word_suffix") != "</w>":
+            raise ValueError("only vocabularies that lower-case, cut words and mark their ends as this one does")
         self.merger = Tokenizer(self.whole.model)
         self.merger.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         size = self.whole.get_vocab_size()

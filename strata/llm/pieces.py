@@ -38,6 +38,8 @@ class Vocabulary:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         spec = model.normalizer_spec
+        if len(model.pieces) > 65_535:
+            raise ValueError("only vocabularies of at most 65,535 pieces are supported: pairs of pieces are keyed by 16 bits each")
         if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.escape_whitespaces:
             raise ValueError("only vocabularies without text normalisation are supported")
         self.prefix = MARK if spec.add_dummy_prefix else ""
@@ -174,7 +176,10 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """doc_id, ids and the decoded text (null for null ids)."""
+    """doc_id, ids and the decoded text.
+
+    Null ids give a null text, empty ones an empty text; repeated rows and null
+    doc_ids are decoded each; other columns are ignored; an empty table gives no rows."""
 
     def run(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vocabulary, ids = load(model), b["ids"].to_pylist()

@@ -22,7 +22,7 @@ from strata.llm.common import Store, map_batches, pick
 LEAST_REVISIT = 1000  # payload bytes from which a repeat becomes a revisit
 SEGMENT = 32 * 1024  # block bytes a record holds at most
 CHUNK = 4 * 1024
-FILE_BYTES = 512 * 1024 * 1024  # an archive's worst case, well under the binary source's 2 GB
+FILE_BYTES = 64 * 1024 * 1024  # an archive's worst case: a reader's task holds one whole
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -189,20 +189,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield batch(rows)
 
     parts = files.mapInArrow(run, _PART)
-    whole = parts.where("number = 0").select("page_id", "type", "refers_to", "sha1", "block")
+    whole = parts.where("number = 0").select("page_id", "type", "refers_to", "sha1", F.array("block").alias("blocks"))
     # one group is one page's records: its size is that of a single payload
     pieces = parts.where("number > 0").groupBy("origin", "page_id", "sha1").agg(
         F.array_sort(F.collect_set(F.struct("number", "block"))).alias("pieces"), F.max("total").alias("total"), F.sum(F.when(F.col("number") == 1, 1).otherwise(0)).alias("copies")
     )
-    block = F.unhex(F.array_join(F.transform("pieces", lambda p: F.hex(p["block"])), ""))
-    checked = F.when(F.octet_length(block) != F.col("total"), F.raise_error(F.concat(F.lit("wrong total length: "), F.col("origin")))).otherwise(block)
-    joined = pieces.withColumn("block", checked).withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("copies")).cast("int"))))
-    joined = joined.select("page_id", F.lit("response").alias("type"), F.lit(None).cast("long").alias("refers_to"), "sha1", "block")
+    blocks = F.transform("pieces", lambda p: p["block"])
+    there = F.aggregate(blocks, F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
+    checked = F.when(there != F.col("total"), F.raise_error(F.concat(F.lit("wrong total length: "), F.col("origin")))).otherwise(blocks)
+    joined = pieces.withColumn("blocks", checked).withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("copies")).cast("int"))))
+    joined = joined.select("page_id", F.lit("response").alias("type"), F.lit(None).cast("long").alias("refers_to"), "sha1", "blocks")
 
     def decode(b: pa.RecordBatch) -> pa.RecordBatch:
         payloads, sizes = [], []
-        for kind, sha1, block in zip(b["type"].to_pylist(), b["sha1"].to_pylist(), b["block"].to_pylist()):
-            head, _, body = block.partition(b"\r\n\r\n")
+        for kind, sha1, blocks in zip(b["type"].to_pylist(), b["sha1"].to_pylist(), b["blocks"]):
+            head, _, body = b"".join(blocks.as_py()).partition(b"\r\n\r\n")
             fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
             if kind == "revisit":
                 payloads.append(None)
@@ -219,7 +220,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Write the pages as archives in the shared folder and read them back."""
+    """Write the pages as archives in the shared folder and read them back.
+
+    Null html is an empty payload; null and repeated page_ids are records
+    each; a null url is written as empty; an empty table gives no rows; other
+    columns are ignored."""
     store = Store(pages.sparkSession, "warc")
     path = store.path("archive")
     write_warc(pages, path)

@@ -382,3 +382,8 @@ def test_packing_keeps_ids_in_order(spark):
         assert ids == want[r.doc_id][r.start : r.start + r.length] and r.doc_tokens == len(want[r.doc_id])
         seen[r.doc_id] += r.length
     assert seen == {i: len(x) for i, x in want.items()}
+
+
+def test_other_packing_vocabularies_are_refused(spark):
+    with pytest.raises(ValueError):
+        packing.WordTokenizer(packing.vocabulary_path("byte_bpe_50k.json"))
