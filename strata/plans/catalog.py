@@ -953,7 +953,7 @@ def q_labeled_documents(spark, sf):
 
 
 _EMB_PRED = (
-    "WITH e AS (SELECT label, CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS INTEGER) AS prediction FROM embeddings),\n"
+    "WITH e AS (SELECT label, CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS INTEGER) AS prediction FROM embeddings),\n"
     "conf AS (SELECT label, prediction, COUNT(*) AS c FROM e GROUP BY 1, 2),\n"
     "lab AS (SELECT label AS class, SUM(c) AS support, SUM(CASE WHEN label = prediction THEN c ELSE 0 END) AS tp FROM conf GROUP BY 1),\n"
     "prd AS (SELECT prediction AS class, SUM(c) AS n_predicted FROM conf GROUP BY 1),\n"
@@ -968,10 +968,9 @@ _EMB_PRED = (
 
 @query("multiclass_metrics", _EMB_PRED)
 def q_multiclass_metrics(spark, sf):
-    """Ten-class metrics: the predicted class is the arg-max of the first ten embedding components."""
+    """Ten-class metrics: the predicted class is the place of the largest embedding component, modulo ten."""
     emb = table(spark, sf, "embeddings")
-    head = F.slice("embedding", 1, 10)
-    pred = (F.array_position(head, F.array_max(head)) - 1).cast("int")
+    pred = ((F.array_position("embedding", F.array_max("embedding")) - 1) % 10).cast("int")
     return E.classification_metrics(emb.select("label", pred.alias("prediction")), "label", "prediction")
 
 
@@ -1133,7 +1132,12 @@ def q_stream_model_scoring(spark, sf):
     )
 
 
-@query("stream_scoring")
+@query(
+    "stream_scoring",
+    "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE WHEN l_quantity * l_discount > 1.2 THEN 1 ELSE 0 END AS INTEGER) AS y, "
+    "CAST(l_quantity / 50.0 AS DOUBLE) AS score, CAST(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS INTEGER) AS prediction, "
+    "abs(l_quantity / 50.0 - 0.5) < 0.1 AS needs_review FROM lineitem",
+)
 def q_stream_scoring(spark, sf):
     from strata.streaming.scoring import score_files
 
