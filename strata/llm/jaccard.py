@@ -366,11 +366,13 @@ def _open_buckets(buckets: DataFrame, store: Store) -> DataFrame:
     return store.put(rows.withColumn("hub", F.sum(F.col("times") * F.col("n")).over(Window.partitionBy("node"))).drop("n"), "open")
 
 
-def _led_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, step: int, percent: int) -> DataFrame:
+def _led_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, step: int, percent: int, store: Store) -> DataFrame:
     """(u, v, a, b): each node with the lead it shares most buckets with, of those of other components that it may link with and was not compared with."""
     draw = F.struct(F.lit(0) if step % 2 else -F.col("hub"), F.xxhash64("node", F.lit(step)))
     spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.min_by(F.struct("node", "root"), draw).alias("lead")).where("r0 < r1")
-    met = labelled.join(spread.select("sig", "lead"), "sig").where("root <> lead.root")
+    # written, so that a hot bucket's rows are a shuffled side of their own in the join, which Spark splits
+    spread = store.put(spread.select("sig", "lead"), "spread")
+    met = labelled.join(spread, "sig").where("root <> lead.root")
     near = met.groupBy("node", "root", "lead").agg(F.sum("times").alias("n"))
     near = near.select("node", "n", F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"), F.greatest("root", "lead.root").alias("u"), F.least("root", "lead.root").alias("v"))
     near = near.join(tried, ["a", "b"], "left_anti")
@@ -380,10 +382,10 @@ def _led_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, step:
     return near.groupBy("node").agg(F.max_by(F.struct("u", "v", "a", "b"), F.struct("n", F.xxhash64("a", "b"))).alias("p")).select("p.u", "p.v", "p.a", "p.b").distinct()
 
 
-def _rest_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+def _rest_pairs(labelled: DataFrame, sketches: DataFrame, tried: DataFrame, percent: int, store: Store) -> DataFrame:
     """(u, v, a, b): all pairs of a bucket that lie in two components, may link and were not compared."""
     spread = labelled.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("sig")
-    open_ = labelled.select("sig", "node", "root").join(spread, "sig").join(sketches, "node")
+    open_ = store.put(labelled.select("sig", "node", "root").join(store.put(spread, "spread"), "sig").join(sketches, "node"), "rest")
     x, y = (open_.select("sig", F.col("node").alias(n), F.col("root").alias("r" + n), *(F.col(c).alias(c + n) for c in _KNOWN)) for n in "ab")
     pairs = x.join(y, "sig").where("a < b and ra <> rb").where(_may_link(lambda c: F.col(c + "a"), lambda c: F.col(c + "b"), percent))
     return pairs.select(F.greatest("ra", "rb").alias("u"), F.least("ra", "rb").alias("v"), "a", "b").distinct().join(tried, ["a", "b"], "left_anti")
@@ -408,7 +410,7 @@ def _link(docs: DataFrame, buckets: DataFrame, members: DataFrame, store: Store,
     last, step = False, 0
     while True:
         labelled = buckets.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        found = _rest_pairs(labelled, sketches, tried, percent) if last else _led_pairs(labelled, sketches, tried, step, percent)
+        found = _rest_pairs(labelled, sketches, tried, percent, store) if last else _led_pairs(labelled, sketches, tried, step, percent, store)
         pairs = store.put(found, "pairs")
         checked = store.put(_verify(pairs, sets, percent).distinct(), "checked")
         store.drop(pairs)

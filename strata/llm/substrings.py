@@ -95,10 +95,11 @@ def repeated(docs: DataFrame, store: Store, size: int = SIZE) -> DataFrame:
     # level two: the windows of full length
     windows = store.put(_windows(docs, hits.where("not same"), size), "windows")
     store.release()
-    first = windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+    # written, so that a hot window's rows are a shuffled side of their own in the join, which Spark splits
+    first = store.put(windows.groupBy("w").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most"), "first")
     later = windows.join(first, "w").where("doc > least").select("doc", "tag", "start", F.lit(1).alias("n"))
     out = store.put(hits.where("same").select("doc", "tag", "start", "n").union(later), "repeated")
-    store.drop(windows), store.drop(hits), store.release()
+    store.drop(windows), store.drop(hits), store.drop(first), store.release()
     return out
 
 
