@@ -236,4 +236,44 @@ SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost AS cost,
 FROM counts c JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
-ORACLE = {"op2_jaccard": _JACCARD_SQL, "op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL, "op12_repair": _REPAIR_SQL}
+_TRIE_SQL = r"""
+WITH src AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS head, xor(list_reduce(list_concat([4294967295::BIGINT],
+      flatten(list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda i: [ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))), 4294967295) % 6 AS h
+  FROM src GROUP BY conv_id
+), convs AS (
+  SELECT a.conv_id, a.head, a.h, least(a.h, coalesce(b.n, 0)) AS taken, least(a.h, coalesce(b.n, 0)) + greatest(a.n - a.h, 0) AS size
+  FROM own a LEFT JOIN own b ON b.conv_id = a.head
+), built AS (
+  SELECT c.conv_id, c.size, s.i AS depth, role, text FROM convs c JOIN src s ON s.conv_id = c.head AND s.i <= c.taken
+  UNION ALL SELECT c.conv_id, c.size, c.taken + s.i - c.h, role, text FROM convs c JOIN src s ON s.conv_id = c.conv_id AND s.i > c.h
+), opened AS (
+  SELECT conv_id, size, 0::BIGINT AS depth, '' AS opening, 0::BIGINT AS chars FROM convs
+  UNION ALL SELECT conv_id, size, depth, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY depth)), length(text)
+  FROM built
+), nodes AS (
+  SELECT depth, opening, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM opened GROUP BY depth, opening
+), named AS (
+  SELECT o.conv_id AS member, o.depth, n.conv_id FROM opened o JOIN nodes n USING (depth, opening)
+), parents AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN named p ON p.member = n.conv_id AND p.depth = n.depth - 1
+), counted AS (
+  SELECT p.*, coalesce(c.n, 0) AS n_children FROM parents p
+  LEFT JOIN (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM parents WHERE depth > 0 GROUP BY ALL) c USING (conv_id, depth)
+), below AS (
+  SELECT DISTINCT x.conv_id, x.depth, y.conv_id AS below_id, y.depth AS below_depth FROM named x JOIN named y ON x.member = y.member AND y.depth >= x.depth
+), summed AS (
+  SELECT b.conv_id, b.depth, count(*) FILTER (c.n_children = 0) AS n_leaves, sum((c.n_convs - 1) * c.chars)::BIGINT AS saved_tokens
+  FROM below b JOIN counted c ON c.conv_id = b.below_id AND c.depth = b.below_depth GROUP BY b.conv_id, b.depth
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM counted JOIN summed USING (conv_id, depth)
+"""
+
+ORACLE = {"op2_jaccard": _JACCARD_SQL, "op9_substrings": _SUBSTRING_SQL, "op4_warc": _WARC_SQL, "op5_url_rules": _URL_SQL, "op10_chat": _CHAT_SQL, "op12_repair": _REPAIR_SQL, "op13_trie": _TRIE_SQL}
