@@ -261,7 +261,8 @@ def outlier_rows(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), whi
     keys = ["feature", *by]
     stats = box_stats(df, cols, by, whisker=whisker, method=method, digits=None)
     long = feature_long(df, cols, by)
-    joined = join_groups(long, stats.select(*keys, "lo_fence", "hi_fence"), keys)
+    # stored, so that its size is known before the join: the rows are neither shuffled nor sorted by their few groups
+    joined = join_groups(long, materialize(stats.select(*keys, "lo_fence", "hi_fence"), "fences"), keys)
     return joined.filter((F.col("value") < F.col("lo_fence")) | (F.col("value") > F.col("hi_fence"))).drop(
         "lo_fence", "hi_fence"
     )

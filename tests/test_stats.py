@@ -114,3 +114,11 @@ def test_wide_correlation_is_pairwise_complete(spark):
     named = S.correlation_vector(df, "v", names=list("abcdefg")).where("i = 0 and j = 2").first()
     assert (named.col_a, named.col_b) == ("a", "c")
     assert S.correlation_vector(df.where("1 = 0"), "v").count() == 0
+
+
+def test_outlier_rows_are_not_gathered_by_group(spark):
+    rows = [(float(v), k) for k in (0, 1) for v in [*range(40), 1000 + k]]
+    out = S.outlier_rows(spark.createDataFrame(rows, "x double, k int"), ["x"], ["k"])
+    assert sorted(map(tuple, out.select("k", "feature", "value").collect())) == [(0, "x", 1000.0), (1, "x", 1001.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
