@@ -8,7 +8,7 @@ score) table so that every metric for every model is one grouped pass.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -85,9 +85,9 @@ def build_pipeline(
 
 
 def fit_all(
-    pipelines: Mapping[str, Pipeline], train: DataFrame, parallelism: int | None = None
+    fits: Mapping[str, Callable[[], PipelineModel]], spark: SparkSession, parallelism: int | None = None
 ) -> dict[str, tuple[PipelineModel, float]]:
-    """Fit each pipeline on the (cached) training frame; returns model and fit seconds.
+    """Run each fit (on cached or stored training rows); returns model and fit seconds.
 
     Independent fits are submitted from a small thread pool (as MLlib's
     ``CrossValidator(parallelism=...)`` does), so one model's driver-side
@@ -99,16 +99,16 @@ def fit_all(
     from pyspark import inheritable_thread_target
 
     def fit(item):
-        name, pipe = item
+        name, run = item
         t0 = time.perf_counter()
-        model = pipe.fit(train)
+        model = run()
         return name, (model, time.perf_counter() - t0)
 
-    workers = max(1, min(parallelism or len(pipelines), len(pipelines)))
+    workers = max(1, min(parallelism or len(fits), len(fits)))
     if workers == 1:
-        return dict(fit(item) for item in pipelines.items())
+        return dict(fit(item) for item in fits.items())
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return dict(pool.map(inheritable_thread_target(train.sparkSession)(fit), list(pipelines.items())))
+        return dict(pool.map(inheritable_thread_target(spark)(fit), list(fits.items())))
 
 
 def scored(model: PipelineModel, df: DataFrame, name: str, keys: Sequence[str], label: str) -> DataFrame:

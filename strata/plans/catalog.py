@@ -1134,14 +1134,11 @@ def q_medallion_run(spark, sf):
 @query("stream_model_scoring")
 def q_stream_model_scoring(spark, sf):
     """A decision-tree pipeline fitted on the training rows scores lineitem as a file stream."""
-    from strata.operators.models import build_pipeline
-    from strata.operators.models import MODEL_PARAMS
-    from strata.plans.gold import fixed_layout
+    from strata.plans.gold import fit_model
     from strata.plans.readings import readings_of
     from strata.streaming.scoring import score_model_files
 
-    train = fixed_layout(_model_inputs(spark, sf), KEYS).filter("split = 'train'")
-    model = build_pipeline("dt", FEATURES, LABEL, impute=IMPUTED, **MODEL_PARAMS["dt"]).fit(train)
+    model = fit_model(_model_inputs(spark, sf), "dt", FEATURES, IMPUTED, LABEL, KEYS)
     return score_model_files(
         spark, model, f"{sf.rstrip('/')}/lineitem.parquet", _scratch(spark, "stream-model"), prepare=readings_of, keep=[*KEYS, LABEL]
     )

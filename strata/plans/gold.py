@@ -7,6 +7,7 @@ fit and every metric.  Parameters default to the reference's settings.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +18,13 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 
 from strata.functions.columns import rnd
 from strata.operators import evaluate as E
+from strata.operators.cells import MAX_BINS, binning, count_cells, fit_cells, fits_on_cells
 from strata.operators.features import scaler_stage
 from strata.operators.models import MODEL_NAMES, MODEL_PARAMS, build_pipeline, classifier, fit_all, importances, predictions_long, root_split
 from strata.plans.physical import materialize
 
+#: Rows per counted cell from which cells are fitted instead of rows.
+WORTH = 4
 
 
 def fixed_layout(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -72,19 +76,37 @@ def model_predictions(
     keys: Sequence[str],
     params: Mapping | None = None,
 ) -> DataFrame:
-    """Fit one pipeline on the train rows, return its long predictions on the test rows."""
-    base, train, test = _split_base(df, keys)
-    pipe = build_pipeline(kind, features, label, impute=impute, **(params or MODEL_PARAMS[kind]))
-    model = pipe.fit(train)
-    base.unpersist()  # the returned predictions are a narrow map; they re-read the input if needed
-    return predictions_long({MODEL_NAMES[kind]: model}, test, keys, label)
+    """Fit one pipeline on the train rows, return its long predictions on the test rows: a narrow map over the input."""
+    model = fit_model(df, kind, features, impute, label, keys, params)
+    return predictions_long({MODEL_NAMES[kind]: model}, df.filter("split = 'test'"), keys, label)
+
+
+def fit_model(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str, keys: Sequence[str], params: Mapping | None = None) -> PipelineModel:
+    """One pipeline fitted on the train rows: of trees without bagging on their counted cells, which hang on no layout; else on the fixed layout."""
+    params = params or MODEL_PARAMS[kind]
+    if fits_on_cells(kind, params):
+        train = df.filter("split = 'train'").select(*dict.fromkeys([*features, label])).persist()
+        prep = preprocessing(features, impute).fit(train)
+        counted = _cells(prep, train, features, label, params)
+        train.unpersist()
+        if counted:
+            return PipelineModel(stages=[*prep.stages, *fit_cells(classifier(kind, label=label, **params), *counted).stages])
+    base, train, _ = _split_base(df, keys)
+    model = build_pipeline(kind, features, label, impute=impute, **params).fit(train)
+    base.unpersist()
+    return model
+
+
+def _cells(prep: PipelineModel, train: DataFrame, features: Sequence[str], label: str, params: Mapping, mean: bool = False) -> tuple[DataFrame, list] | None:
+    """The counted cells of the imputed rows and the bin stages; nothing if the cells are not far fewer than the rows."""
+    rows = prep.transform(train)
+    stages = binning(rows, features, params.get("maxBins", MAX_BINS))
+    cells = count_cells(rows, features, label, stages, mean)
+    return (cells, stages) if cells.count() * WORTH <= train.count() else None
 
 
 def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str, keys: Sequence[str] = ()) -> DataFrame:
-    base, train, _ = _split_base(df, keys)
-    model = build_pipeline(kind, features, label, impute=impute, **MODEL_PARAMS[kind]).fit(train)
-    base.unpersist()
-    return importances(model, features, MODEL_NAMES[kind])
+    return importances(fit_model(df, kind, features, impute, label, keys), features, MODEL_NAMES[kind])
 
 
 class GoldRun:
@@ -114,15 +136,25 @@ def run_models(
     params: Mapping[str, Mapping] | None = None,
 ) -> GoldRun:
     base, train, test = _split_base(df, keys)
-    # fit imputation and scaling once; every classifier trains on the same cached vectors
+    # fit imputation and scaling once; every classifier trains on the same cached vectors, or on their cells
     prep = preprocessing(features, impute).fit(train)
-    train_v, test_v = _vectors(prep, [train, test], [*keys, label, "features"])
+    chosen = {k: (params or {}).get(k) or MODEL_PARAMS[k] for k in kinds}
+    by_bins: dict[int, tuple | None] = {}
+    for k in kinds:
+        bins = chosen[k].get("maxBins", MAX_BINS)
+        if fits_on_cells(k, chosen[k]) and bins not in by_bins:
+            by_bins[bins] = _cells(prep, train, features, label, chosen[k])
+    train_v, = _vectors(prep, [train], [label, "features"])
+    test_v, = _vectors(prep, [test], [*dict.fromkeys([*keys, label, *features]), "features"])
     base.unpersist()  # only the vectors stay cached
-    clfs = {
-        MODEL_NAMES[k]: Pipeline(stages=[classifier(k, features="features", label=label, **((params or {}).get(k) or MODEL_PARAMS[k]))])
-        for k in kinds
-    }
-    fitted = fit_all(clfs, train_v)
+
+    def fit(kind):
+        counted = by_bins.get(chosen[kind].get("maxBins", MAX_BINS)) if fits_on_cells(kind, chosen[kind]) else None
+        if counted:
+            return fit_cells(classifier(kind, label=label, **chosen[kind]), *counted)
+        return Pipeline(stages=[classifier(kind, features="features", label=label, **chosen[kind])]).fit(train_v)
+
+    fitted = fit_all({MODEL_NAMES[k]: partial(fit, k) for k in kinds}, df.sparkSession)
     # full pipelines (preprocessing + classifier) are what a caller saves and reloads
     models = {n: PipelineModel(stages=[*prep.stages, *m.stages]) for n, (m, _) in fitted.items()}
     preds = predictions_long({n: fitted[n][0] for n in models}, test_v, keys, label).persist()
@@ -247,18 +279,21 @@ def regression_baselines(df: DataFrame, features: Sequence[str], target: str, ke
 
     from strata.operators.quality import regression_metrics
 
-    base, train, test = _split_base(df, keys)
+    base, train, test = _split_base(df.withColumns({c: F.col(c).cast("double") for c in features}).select(*dict.fromkeys([*keys, *features, target, "split"])), keys)
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    prep = [Imputer(inputCols=list(features), outputCols=list(features), strategy="mean"), asm]
-    train, test = (f.withColumns({c: F.col(c).cast("double") for c in features}) for f in (train, test))
+    prep = Pipeline(stages=[Imputer(inputCols=list(features), outputCols=list(features), strategy="mean"), asm]).fit(train)
+    line = LinearRegression(featuresCol="features", labelCol=target, regParam=0.1, elasticNetParam=0.0)
+    boosted = GBTRegressor(featuresCol="features", labelCol=target, **MODEL_PARAMS["gbt"])
+    # squared loss sees of a cell's labels their number and mean
+    counted = _cells(prep, train, features, target, MODEL_PARAMS["gbt"], mean=True)
     models = {
-        "Ridge Regression": LinearRegression(featuresCol="features", labelCol=target, regParam=0.1, elasticNetParam=0.0),
-        "Gradient Boosted Regression": GBTRegressor(featuresCol="features", labelCol=target, **MODEL_PARAMS["gbt"]),
+        "Ridge Regression": line.fit(prep.transform(train)),
+        "Gradient Boosted Regression": fit_cells(boosted, *counted) if counted else boosted.fit(prep.transform(train)),
     }
     frames = []
-    for name, est in models.items():
-        fitted = Pipeline(stages=[*prep, est]).fit(train)
-        frames.append(fitted.transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y"), F.col("prediction").alias("yhat")))
+    for name, fitted in models.items():
+        scored = fitted.transform(prep.transform(test))
+        frames.append(scored.select(F.lit(name).alias("model"), F.col(target).alias("y"), F.col("prediction").alias("yhat")))
     allp = frames[0]
     for f in frames[1:]:
         allp = allp.unionByName(f)
