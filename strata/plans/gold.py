@@ -255,10 +255,10 @@ def cross_validate(
 
     from strata.operators.features import fold_column
 
-    base, train, _ = _split_base(df, keys)
+    # no step draws by the layout; stored, as the validator itself caches both sides of a fold
+    train = materialize(df.filter("split = 'train'").select(*dict.fromkeys([*features, label]), fold_column(keys, folds)), "folds")
     prep = preprocessing(features, impute).fit(train)
-    (data,) = _vectors(prep, [train], [label, "features", fold_column(keys, folds)])
-    base.unpersist()
+    data = prep.transform(train).select(label, "features", "fold")
     lr = classifier("lr", features="features", label=label, **MODEL_PARAMS["lr"])
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
@@ -266,7 +266,6 @@ def cross_validate(
         estimator=lr, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", numFolds=folds, parallelism=min(4, len(grid))
     )
     fitted = cv.fit(data)
-    data.unpersist()
     spark = df.sparkSession
     rows = [(float(m[lr.regParam]), float(a)) for m, a in zip(grid, fitted.avgMetrics)]
     out = spark.createDataFrame(rows, "reg_param double, mean_auc double")
