@@ -82,7 +82,12 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.
     return df.mapInArrow(run, schema)
 
 
-_CACHES: weakref.WeakSet[WordCache] = weakref.WeakSet()
+_CACHES: weakref.WeakSet = weakref.WeakSet()
+
+
+def forgotten_too(cache) -> None:
+    """``cache.clear()`` is part of ``forget_words`` from now on."""
+    _CACHES.add(cache)
 
 
 def forget_words() -> None:
@@ -103,7 +108,7 @@ class WordCache:
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 100_000_000, longest: int = 256):
         self.encode, self.limit, self.longest = encode, limit, longest
         self.clear()
-        _CACHES.add(self)
+        forgotten_too(self)
 
     def clear(self) -> None:
         self.known: dict[str, bytes] = {}

@@ -12,7 +12,6 @@ find their place by their rank among pieces of their length.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import Store, WordCache, map_batches, pick, slices
+from strata.llm.common import Store, forgotten_too, map_batches, pick, slices
 
 VOCABULARY = "word_bpe_49k.json"
 SEQUENCE = 2048
@@ -44,9 +43,10 @@ _RULES = json.dumps(
 )
 _LETTER = "a-zß-öø-ÿ"
 #: Words whose normal form and pieces are plain: printable ASCII and the Latin-1 letters.  All others go through the tokenizer's own normaliser.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+").findall
-
+_PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+_PIECE = rf"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+)"
+#: Bytes of words and ids kept between slices, and characters of the longest word kept.
+KEPT, LONGEST = 16_000_000, 256
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -60,7 +60,10 @@ class WordTokenizer:
 
     No token spans white space, so a text's ids are its words' ids in a row.
     Plain words skip the normaliser, which takes most of the library's time:
-    they are cut here and only merged there, each distinct word once."""
+    they are cut here and only merged there, each distinct piece once.  Words
+    stay in Arrow arrays, as most of the distinct ones are met once.  ``known``
+    holds words met before and ``ids`` theirs; when they are ``KEPT`` bytes,
+    only those of the slice at hand stay, so words met often do."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -75,30 +78,74 @@ class WordTokenizer:
         size = self.whole.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
         self.ends = np.array([(self.whole.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.words = WordCache(self._encode)
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        plain = [w for w in words if _PLAIN(w) and "<|" not in w]
-        cut = [_PIECES(w.lower()) for w in plain]
-        distinct = [*dict.fromkeys(p for pieces in cut for p in pieces)]
-        merged = {}
-        for at in range(0, len(distinct), 50_000):
-            part = distinct[at : at + 50_000]
+        self.clear()
+        forgotten_too(self)
+
+    def clear(self) -> None:
+        self.known, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+
+    def _merge(self, pieces: pa.Array) -> pa.Array:
+        """Of distinct pieces, each a word's whole run of letters or signs."""
+        raw, edges, at = [], [np.zeros(1, np.int64)], 0
+        for low in range(0, len(pieces), 50_000):
+            part = pieces.slice(low, 50_000).to_pylist()
             ids = np.array(self.merger.encode_batch_fast([part], is_pretokenized=True, add_special_tokens=False)[0].ids, self.dtype)
             stop = np.flatnonzero(self.ends[ids]) + 1
             if len(stop) != len(part):
                 raise ValueError("a piece without exactly one last token")
-            raw, step = ids.tobytes(), self.dtype.itemsize
-            merged.update(zip(part, (raw[a * step : b * step] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist()))))
-        found = {w: b"".join([merged[p] for p in pieces]) for w, pieces in zip(plain, cut)}
-        found[""] = b""
-        rest = [w for w in words if w not in found]
-        for w, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False)):
-            found[w] = np.array(e.ids, self.dtype).tobytes()
-        return [found[w] for w in words]
+            raw.append(ids.tobytes())
+            edges.append(at + stop * self.dtype.itemsize)
+            at += len(raw[-1])
+        return _binary(np.concatenate(edges), pa.py_buffer(b"".join(raw)))
+
+    def _encode(self, words: pa.Array) -> pa.Array:
+        plain = pc.and_not(pc.match_substring_regex(words, _PLAIN), pc.match_substring(words, "<|"))
+        cut = pc.replace_substring_regex(pc.utf8_lower(words.filter(plain)), _PIECE, r"\1 ")
+        pieces = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(cut))
+        coded = pieces.flatten().dictionary_encode()
+        each = self._merge(coded.dictionary).take(coded.indices)
+        of_plain = _binary(_edges(each)[_starts(pieces)], each.buffers()[2])
+        rest = self.whole.encode_batch_fast(words.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)
+        of_rest = pa.array([np.array(e.ids, self.dtype).tobytes() for e in rest], pa.large_binary())
+        plain = plain.to_numpy(zero_copy_only=False)
+        return pa.concat_arrays([of_plain, of_rest]).take(pa.array(np.where(plain, np.cumsum(plain), len(of_plain) + np.cumsum(~plain)) - 1))
+
+    def _look_up(self, words: pa.Array) -> pa.Array:
+        """Of distinct words."""
+        at = pc.index_in(words, value_set=self.known)
+        fresh = words.filter(at.is_null())
+        ids = pa.concat_arrays([self.ids, self._encode(fresh)])
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        found = ids.take(pa.array(np.where(new, len(self.known) + np.cumsum(new) - 1, at.fill_null(0).to_numpy())))
+        if ids.nbytes + self.known.nbytes + fresh.nbytes <= KEPT:
+            self.known, self.ids = pa.concat_arrays([self.known, fresh]), ids
+        else:
+            short = pc.less_equal(pc.utf8_length(words), LONGEST)
+            self.known, self.ids = words.filter(short), found.filter(short)
+            if self.known.nbytes + self.ids.nbytes > KEPT:
+                self.clear()
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.words.rows(pc.ascii_split_whitespace(pa.array(texts, pa.string())))
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        coded = words.flatten().dictionary_encode()
+        flat = self._look_up(coded.dictionary).take(coded.indices)
+        edge, raw = _edges(flat)[_starts(words)].tolist(), memoryview(flat.buffers()[2] or b"")
+        return [bytes(raw[a:b]) for a, b in zip(edge, edge[1:])]
+
+
+def _starts(lists: pa.ListArray) -> np.ndarray:
+    """Where each list starts among ``lists.flatten()``, and where the last ends."""
+    return lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+def _edges(flat: pa.Array) -> np.ndarray:
+    """Where the values of a large binary array that starts at its buffer's begin start and end."""
+    return np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1) if len(flat) else np.zeros(1, np.int64)
+
+
+def _binary(edges: np.ndarray, raw: pa.Buffer | None) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(np.ascontiguousarray(edges, np.int64)), raw or pa.py_buffer(b"")])
 
 
 _LOADED: dict[str, WordTokenizer] = {}

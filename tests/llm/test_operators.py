@@ -387,3 +387,35 @@ def test_packing_keeps_ids_in_order(spark):
 def test_other_packing_vocabularies_are_refused(spark):
     with pytest.raises(ValueError):
         packing.WordTokenizer(packing.vocabulary_path("byte_bpe_50k.json"))
+
+
+def test_packing_encodes_distinct_words_by_the_slice():
+    """Ids are the library's, whatever is kept; words met once cost no Python call each."""
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    tok = packing.WordTokenizer(packing.vocabulary_path())
+
+    def want(text):
+        words = pc.ascii_split_whitespace(pa.array([text]))[0].as_py()
+        return b"".join(np.array(e.ids, tok.dtype).tobytes() for e in tok.whole.encode_batch_fast(words, add_special_tokens=False))
+
+    odd = ["", "  ", "Don't I'LL'S 's '' x2.5--y", "ÀÉ×÷ÿß ﬁ İ <|endoftext|> a<|b", "\x1c 你好 Łódź naïve", "w" * 3000 + "," * 3000]
+    for _ in range(2):
+        assert tok.encode(odd) == [want(t) for t in odd]
+    letters = np.random.default_rng(3).integers(97, 123, (20_000, 9)).astype(np.uint8)
+    many = " ".join(bytes(w).decode() + ",;"[i % 2] for i, w in enumerate(letters))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = tok.encode([many])
+    finally:
+        sys.setprofile(None)
+    assert got == [want(many)] and calls < 5_000
