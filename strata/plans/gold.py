@@ -18,7 +18,7 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 
 from strata.functions.columns import rnd
 from strata.operators import evaluate as E
-from strata.operators.cells import MAX_BINS, binning, count_cells, fit_cells, fits_on_cells
+from strata.operators.cells import MAX_BINS, bags_on_cells, binning, count_cells, fit_cells, fit_forest_cells, fits_on_cells
 from strata.operators.features import scaler_stage
 from strata.operators.models import MODEL_NAMES, MODEL_PARAMS, build_pipeline, classifier, fit_all, importances, predictions_long, root_split
 from strata.plans.physical import materialize
@@ -82,21 +82,26 @@ def model_predictions(
 
 
 def fit_model(df: DataFrame, kind: str, features: Sequence[str], impute: Sequence[str], label: str, keys: Sequence[str], params: Mapping | None = None) -> PipelineModel:
-    """One pipeline fitted on the train rows: of trees without bagging on their counted cells, which hang on no layout; else on the fixed layout."""
+    """One pipeline fitted on the train rows: of trees on their counted cells, which hang on no layout; else on the fixed layout."""
     params = params or MODEL_PARAMS[kind]
-    if fits_on_cells(kind, params):
+    if fits_on_cells(kind, params) or bags_on_cells(kind, params):
         train = df.filter("split = 'train'").select(*dict.fromkeys([*features, label])).persist()
         prep = preprocessing(features, impute).fit(train)
         counted = _cells(prep, train, features, label, params)
         train.unpersist()
         if counted:
-            return PipelineModel(stages=[*prep.stages, *fit_cells(classifier(kind, label=label, **params), *counted).stages])
+            return PipelineModel(stages=[*prep.stages, *_fit_counted(kind, label, params, counted).stages])
     base, train, _ = _split_base(df, keys)
     model = build_pipeline(kind, features, label, impute=impute, **params).fit(train)
     base.unpersist()
     return model
 
 
+def _fit_counted(kind: str, label: str, params: Mapping, counted: tuple[DataFrame, list]) -> PipelineModel:
+    fit = fit_forest_cells if bags_on_cells(kind, params) else fit_cells
+    return fit(classifier(kind, label=label, **params), *counted)
+
+
 def _cells(prep: PipelineModel, train: DataFrame, features: Sequence[str], label: str, params: Mapping, mean: bool = False) -> tuple[DataFrame, list] | None:
     """The counted cells of the imputed rows and the bin stages; nothing if the cells are not far fewer than the rows."""
     rows = prep.transform(train)
@@ -135,23 +140,28 @@ def run_models(
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
 ) -> GoldRun:
-    base, train, test = _split_base(df, keys)
+    # no step on cells draws by the layout; the fixed one is made only for a forest on rows
+    base = df.persist()
+    train, test = base.filter("split = 'train'"), base.filter("split = 'test'")
     # fit imputation and scaling once; every classifier trains on the same cached vectors, or on their cells
     prep = preprocessing(features, impute).fit(train)
     chosen = {k: (params or {}).get(k) or MODEL_PARAMS[k] for k in kinds}
     by_bins: dict[int, tuple | None] = {}
+    counted: dict[str, tuple | None] = {}
     for k in kinds:
-        bins = chosen[k].get("maxBins", MAX_BINS)
-        if fits_on_cells(k, chosen[k]) and bins not in by_bins:
-            by_bins[bins] = _cells(prep, train, features, label, chosen[k])
-    train_v, = _vectors(prep, [train], [label, "features"])
+        if fits_on_cells(k, chosen[k]) or bags_on_cells(k, chosen[k]):
+            bins = chosen[k].get("maxBins", MAX_BINS)
+            if bins not in by_bins:
+                by_bins[bins] = _cells(prep, train, features, label, chosen[k])
+            counted[k] = by_bins[bins]
+    laid = fixed_layout(base, keys).filter("split = 'train'") if "rf" in kinds and not counted.get("rf") else train
+    train_v, = _vectors(prep, [laid], [label, "features"])
     test_v, = _vectors(prep, [test], [*dict.fromkeys([*keys, label, *features]), "features"])
     base.unpersist()  # only the vectors stay cached
 
     def fit(kind):
-        counted = by_bins.get(chosen[kind].get("maxBins", MAX_BINS)) if fits_on_cells(kind, chosen[kind]) else None
-        if counted:
-            return fit_cells(classifier(kind, label=label, **chosen[kind]), *counted)
+        if counted.get(kind):
+            return _fit_counted(kind, label, chosen[kind], counted[kind])
         return Pipeline(stages=[classifier(kind, features="features", label=label, **chosen[kind])]).fit(train_v)
 
     fitted = fit_all({MODEL_NAMES[k]: partial(fit, k) for k in kinds}, df.sparkSession)

@@ -63,3 +63,49 @@ def test_thresholds():
     assert candidate_thresholds([], 4) == [] and candidate_thresholds([(1.0, 3)], 4) == []
     assert candidate_thresholds([(2.0, 1), (1.0, 5), (4.0, 1)], 4) == [1.5, 3.0]
     assert len(candidate_thresholds([(float(i), 1) for i in range(1000)], 32)) == 31
+
+
+def test_a_bagged_forest_is_fitted_on_cells(spark, rows, monkeypatch):
+    """No row is shuffled into a fixed layout; the forest is near one on rows, and the same from any layout."""
+    from pyspark.ml.functions import vector_to_array
+
+    from strata.operators.cells import fit_forest_cells
+    from strata.plans import gold
+
+    params = {"numTrees": 12, "maxDepth": 6, "seed": 42, "minInstancesPerNode": 2}
+    on_rows = gold.build_pipeline("rf", ["a", "b"], "y", impute=["a"], **params).fit(gold.fixed_layout(rows, ["id"]).where("split = 'train'"))
+    monkeypatch.setattr(gold, "fixed_layout", None)
+    one, two = (gold.fit_model(x, "rf", ["a", "b"], ["a"], "y", ["id"], params) for x in (rows, rows.orderBy("z").repartition(7)))
+    assert one.stages[-1].getNumTrees == 12 and one.stages[-1].toDebugString.split("\n", 1)[1] == two.stages[-1].toDebugString.split("\n", 1)[1]
+    p = [m.transform(rows).select("id", vector_to_array("probability")[1].alias("p")).alias(n) for m, n in ((one, "x"), (on_rows, "y"))]
+    assert p[0].join(p[1], "id").agg(F.avg(F.abs(F.col("x.p") - F.col("y.p")))).first()[0] < 0.05
+    rare = spark.createDataFrame([(0.0, 0)] * 500 + [(1.0, 1)], "a double, y int")
+    stages = binning(rare, ["a"])
+    forest = fit_forest_cells(classifier("rf", label="y", numTrees=6, seed=1), count_cells(rare, ["a"], "y", stages), stages)
+    assert forest.stages[-1].numClasses == 2 and {t.numClasses for t in forest.stages[-1].trees} == {2}
+
+
+def test_draws_have_the_law_of_the_rows(spark, rows):
+    """Of a cell of n rows, a tree draws n on average, with variance n; subsampling scales both."""
+    from strata.operators.cells import draw_counts
+
+    stages = binning(rows, ["b"])
+    cells = count_cells(rows, ["b"], "y", stages).where("cell_rows > 300")
+    for rate in (1.0, 0.5):
+        drawn = draw_counts(cells, "y", 400, rate, 42).join(cells, ["binned", "y"]).collect()
+        assert len(drawn) > 5
+        for r in drawn:
+            counts, mean = [r[f"t{i}"] for i in range(400)], r["cell_rows"] * rate
+            average = sum(counts) / 400
+            assert abs(average - mean) < 5 * (mean / 400) ** 0.5
+            assert 0.7 * mean < sum((c - average) ** 2 for c in counts) / 399 < 1.35 * mean
+
+
+def test_a_layered_run_of_cells_makes_no_fixed_layout(rows, monkeypatch):
+    from strata.plans import gold
+
+    monkeypatch.setattr(gold, "fixed_layout", None)
+    small = {"rf": {"numTrees": 3, "maxDepth": 3, "seed": 1}, "lr": {"maxIter": 5}}
+    run = gold.run_models(rows, ["a", "b"], ["a"], "y", ["id"], ("rf", "lr"), small)
+    assert {r["model"]: r["n"] for r in run.metrics.collect()} == {"Random Forest": 1800, "Logistic Regression": 1800}
+    run.release()
