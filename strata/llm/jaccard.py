@@ -43,6 +43,7 @@ PERCENT = 80
 SHINGLE = 5
 GROWTH = 1.6  # a band's largest size over its smallest
 MOST = 100_000  # sets of a bucket held at once; larger ones all count as this large
+BLOCK = 32_768  # bits of one of Spark's bitmaps
 WORDS = 8  # 64-bit words of a sketch
 _SKETCH = [f"w{i}" for i in range(WORDS)]
 _KNOWN = ["size", *_SKETCH]
@@ -256,6 +257,20 @@ def _affordable(rows: DataFrame, store: Store) -> DataFrame:
     return store.put(rows.withColumn("given", given).where("given > room").select("sig", "node"), "kept")
 
 
+def _marked(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents of ``chosen`` and about one in 16 of the others.
+
+    ``chosen`` marks a bit for each of its ids, in a map of 16 bits an id, so
+    that the texts of most others are not shuffled to find out."""
+    bits = BLOCK * max(1, ceil(16 * chosen.count() / BLOCK))
+    bit = F.pmod(F.xxhash64("doc"), F.lit(bits)) + 1
+    at, block = F.bitmap_bit_position(bit), F.bitmap_bucket_number(bit)
+    marks = chosen.groupBy(block.alias("block")).agg(F.bitmap_construct_agg(at).alias("marks"))
+    near = docs.withColumns({"block": block, "at": at}).join(F.broadcast(marks), "block")
+    byte = F.expr("cast(conv(hex(substring(marks, cast(at div 8 as int) + 1, 1)), 16, 10) as int)")
+    return near.where(byte.bitwiseAND(F.expr("shiftleft(1, cast(at % 8 as int))")) != 0).select(*docs.columns)
+
+
 def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store, size: int) -> DataFrame:
     """(node, set, size, sketch words) of the given nodes: sorted shingle hashes, read off one document of each."""
     chosen = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("doc"))
@@ -272,7 +287,7 @@ def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, store: Store,
             words = [pa.array(w) for w in np.array(bits).T]
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sets, pa.binary()), pa.array(count, pa.int64()), *words], names=["node", "set", "size", *_SKETCH])
 
-    read = docs.join(chosen, "doc").select("node", "text")
+    read = _marked(docs, chosen).join(chosen, "doc").select("node", "text")
     out = store.put(map_batches(read, run, ", ".join(["node long, set binary, size long", *(f"{w} long" for w in _SKETCH)])), "sets")
     store.release()
     store.drop(chosen)

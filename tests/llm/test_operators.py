@@ -419,3 +419,18 @@ def test_packing_encodes_distinct_words_by_the_slice():
     finally:
         sys.setprofile(None)
     assert got == [want(many)] and calls < 5_000
+
+
+def test_jaccard_shuffles_few_texts_it_does_not_need(spark):
+    """All chosen documents pass the map of bits, and about one in 16 of the others."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(-10_000, 30_000).select(F.col("id").alias("doc"), F.lit("t").alias("text"))
+    docs = ids.union(spark.createDataFrame([(None, "n"), (0, "again")], "doc long, text string"))
+    for step in (7, 1):
+        chosen = spark.range(-10_000, 30_000, step).select(F.col("id").alias("doc"))
+        near = jaccard._marked(docs, chosen)
+        found, n = near.count(), chosen.count()
+        assert near.columns == docs.columns and near.join(chosen, "doc").count() == n + (1 if step == 1 or 10_000 % 7 == 0 else 0)
+        assert found <= n + 2 + 0.1 * (40_000 - n)  # the repeated and the null id may pass too
+    assert jaccard._marked(docs, chosen.limit(0)).count() == 0
