@@ -1,7 +1,8 @@
 """Gold layer: fit the classifiers, score the test rows, compare and rank.
 
-Train and test come from the hash split, are cached once and reused by every
-fit and every metric.  Parameters default to the reference's settings.
+Train and test come from the hash split.  A comparison stores its rows, its
+predictions and its metrics once as files, from which every fit and every
+metric reads.  Parameters default to the reference's settings.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from functools import partial
 from math import ceil, sqrt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,16 +49,6 @@ def _split_base(df: DataFrame, keys: Sequence[str] = (), split_col: str = "split
     return base, base.filter(F.col(split_col) == "train"), base.filter(F.col(split_col) == "test")
 
 
-def _vectors(prep: PipelineModel, frames, cols) -> list[DataFrame]:
-    """Transform and cache each frame's model inputs, materialised once."""
-    out = []
-    for f in frames:
-        v = prep.transform(f).select(*cols).persist()
-        v.count()
-        out.append(v)
-    return out
-
-
 def preprocessing(features: Sequence[str], impute: Sequence[str]) -> Pipeline:
     """Imputer → VectorAssembler → StandardScaler, fitted once and shared by every model."""
     stages = []
@@ -115,7 +107,9 @@ def feature_importance(df: DataFrame, kind: str, features: Sequence[str], impute
 
 
 class GoldRun:
-    """Everything one comparison run produced: fitted pipelines, the long predictions, metrics and timings."""
+    """Everything one comparison run produced: fitted pipelines, the long predictions, metrics and timings.
+
+    Predictions and metrics are stored tables; the rows are read from the stored input."""
 
     def __init__(self, models, preds, metrics, fit_seconds, train_rows, test_rows):
         self.models = models
@@ -126,9 +120,8 @@ class GoldRun:
         self.test_rows = test_rows
 
     def release(self) -> None:
-        """Drop the cached vectors and predictions; what was computed from them must be stored by then."""
-        for df in (self.preds, self.train_rows, self.test_rows):
-            df.unpersist()
+        """Drop the kept training rows of a forest on rows; what was computed from them must be stored by then."""
+        self.train_rows.unpersist()
 
 
 def run_models(
@@ -140,10 +133,11 @@ def run_models(
     kinds: Sequence[str] = ("rf", "dt", "lr", "gbt"),
     params: Mapping[str, Mapping] | None = None,
 ) -> GoldRun:
-    # no step on cells draws by the layout; the fixed one is made only for a forest on rows
-    base = df.persist()
+    # stored, not cached: no pass but the estimators' own holds rows in the executors' memory
+    needed = {*keys, label, *features, "split"}
+    base = materialize(df.select(*[c for c in df.columns if c in needed]), "split")
     train, test = base.filter("split = 'train'"), base.filter("split = 'test'")
-    # fit imputation and scaling once; every classifier trains on the same cached vectors, or on their cells
+    # fit imputation and scaling once; every classifier trains on the same vectors, or on their cells
     prep = preprocessing(features, impute).fit(train)
     chosen = {k: (params or {}).get(k) or MODEL_PARAMS[k] for k in kinds}
     by_bins: dict[int, tuple | None] = {}
@@ -154,10 +148,14 @@ def run_models(
             if bins not in by_bins:
                 by_bins[bins] = _cells(prep, train, features, label, chosen[k])
             counted[k] = by_bins[bins]
-    laid = fixed_layout(base, keys).filter("split = 'train'") if "rf" in kinds and not counted.get("rf") else train
-    train_v, = _vectors(prep, [laid], [label, "features"])
-    test_v, = _vectors(prep, [test], [*dict.fromkeys([*keys, label, *features]), "features"])
-    base.unpersist()  # only the vectors stay cached
+    # no step on cells draws by the layout; the fixed one is made only for a forest on rows, and kept on disk for its passes
+    on_rows = "rf" in kinds and not counted.get("rf")
+    train_v = prep.transform(fixed_layout(base, keys).filter("split = 'train'") if on_rows else train).select(label, "features")
+    if on_rows:
+        train_v = train_v.persist(StorageLevel.DISK_ONLY)
+        train_v.count()
+    test_rows = materialize(test.select(*dict.fromkeys([*keys, label, *features])), "test")
+    test_v = prep.transform(test_rows)
 
     def fit(kind):
         if counted.get(kind):
@@ -167,8 +165,8 @@ def run_models(
     fitted = fit_all({MODEL_NAMES[k]: partial(fit, k) for k in kinds}, df.sparkSession)
     # full pipelines (preprocessing + classifier) are what a caller saves and reloads
     models = {n: PipelineModel(stages=[*prep.stages, *m.stages]) for n, (m, _) in fitted.items()}
-    preds = predictions_long({n: fitted[n][0] for n in models}, test_v, keys, label).persist()
-    metrics = E.evaluate(preds, "label", "prediction", "score", by=["model"])
+    preds = materialize(predictions_long({n: fitted[n][0] for n in models}, test_v, keys, label), "predictions")
+    metrics = materialize(E.evaluate(preds, "label", "prediction", "score", by=["model"]), "metrics")
     return GoldRun(models, preds, metrics, {n: s for n, (_, s) in fitted.items()}, train_v, test_v)
 
 

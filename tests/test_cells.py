@@ -109,3 +109,23 @@ def test_a_layered_run_of_cells_makes_no_fixed_layout(rows, monkeypatch):
     run = gold.run_models(rows, ["a", "b"], ["a"], "y", ["id"], ("rf", "lr"), small)
     assert {r["model"]: r["n"] for r in run.metrics.collect()} == {"Random Forest": 1800, "Logistic Regression": 1800}
     run.release()
+
+
+@pytest.mark.parametrize("worth,levels", [(4, []), (10**9, [(True, False)])])
+def test_a_layered_run_keeps_no_rows_in_memory(spark, rows, monkeypatch, worth, levels):
+    """Rows, predictions and metrics are read from files; only the layout of a forest on rows is kept, on disk."""
+    from strata.plans import gold
+
+    seen, frame = [], type(rows)
+    persist = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *level: (out := persist(df, *level), seen.append((out.storageLevel.useDisk, out.storageLevel.useMemory)))[0])
+    monkeypatch.setattr(gold, "WORTH", worth)
+    small = {"rf": {"numTrees": 3, "maxDepth": 3, "seed": 1}, "dt": {"maxDepth": 3, "seed": 1}, "lr": {"maxIter": 5}}
+    run = gold.run_models(rows, ["a", "b"], ["a"], "y", ["id"], ("rf", "dt", "lr"), small)
+    assert seen == levels
+    assert run.preds.inputFiles() and run.metrics.inputFiles() and run.test_rows.inputFiles()
+    report = {(r["section"], r["key"]): r["value"] for r in gold.gold_report(run, ["a", "b"]).collect()}
+    assert (report["table", "train_size"], report["table", "test_size"]) == (7200, 1800)
+    assert sum(report["confusion_matrix", c] for c in ("TN", "FP", "FN", "TP")) == 1800
+    run.release()
+    assert not run.train_rows.storageLevel.useDisk
